@@ -16,7 +16,7 @@ from . import bits, tables
 from .constants import MAX_RES
 from .steps import floor, number, pick, whole
 
-H3 = math.sqrt(3) / 2
+HALF_ROOT3 = math.sqrt(3) / 2
 EDGE_SLACK = 1e-9
 TURN_RE = [tables.turn(n).real for n in range(6)]
 TURN_IM = [tables.turn(n).imag for n in range(6)]
@@ -56,7 +56,7 @@ def cell_plane(c, o, max_res=MAX_RES):
 
 def _sides(x, y):
     """Distance inside each edge of the face triangle, scaled so a corner is 3 away."""
-    return (f"(1D + {x})", f"(1D - 0.5D * {x} + {number(H3)} * {y})", f"(1D - 0.5D * {x} - {number(H3)} * {y})")
+    return (f"(1D + {x})", f"(1D - 0.5D * {x} + {number(HALF_ROOT3)} * {y})", f"(1D - 0.5D * {x} - {number(HALF_ROOT3)} * {y})")
 
 
 def _row_columns():
@@ -205,7 +205,7 @@ def lattice(x, y, res, o):
     re, im = of_res([z.real for z in inv], res), of_res([z.imag for z in inv], res)
     return [
         {f"{o}lx": f"{x} * {re} - {y} * {im}", f"{o}ly": f"{x} * {im} + {y} * {re}"},
-        {f"{o}cw": f"-{o}ly * {number(1 / H3)}"},
+        {f"{o}cw": f"-{o}ly * {number(1 / HALF_ROOT3)}"},
         {f"{o}cu": f"{o}lx - 0.5D * {o}cw"},
         {f"{o}cv": f"-{o}cw - {o}cu"},
         {f"{o}ru": floor(f"{o}cu + 0.5D"), f"{o}rv": floor(f"{o}cv + 0.5D"), f"{o}rw": floor(f"{o}cw + 0.5D")},

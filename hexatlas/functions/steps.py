@@ -75,6 +75,13 @@ def run(df: DataFrame, steps, outputs, drop=()) -> DataFrame:
     return df.selectExpr(*kept, f"inline(array(named_struct({fields})))")
 
 
+def keep_if(df: DataFrame, condition) -> DataFrame:
+    """Filter on step columns without letting the optimizer move the condition below
+    the steps (see ``run``)."""
+    flag = fresh("keep")
+    return df.selectExpr("*", f"inline(array(named_struct('{flag}', {condition})))").filter(flag).drop(flag)
+
+
 _word = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 

@@ -18,6 +18,7 @@ from .constants import (
 
 W = cmath.exp(2j * math.pi / 3)
 CORNERS = [2 * W ** m for m in range(3)]
+H60 = math.sqrt(3) / 2  # sine of a sixth of a turn
 # rotation between lattices of consecutive resolutions
 CLASS3_ANGLE = math.asin(math.sqrt(3.0 / 28.0))
 # angle of the unit step for digits 0-7; 0 is the centre and 7 means "unused"
