@@ -34,15 +34,15 @@ def mode(c):
 
 def digit(c, r):
     """Digit at resolution r; NULL when r is not 1-15."""
-    return (f"CASE WHEN {r} BETWEEN 1 AND {MAX_RES} "
-            f"THEN CAST(shiftrightunsigned({c}, 3 * ({MAX_RES} - {r})) & 7 AS INT) END")
+    return (f"CASE WHEN ({r}) BETWEEN 1 AND {MAX_RES} "
+            f"THEN CAST(shiftrightunsigned({c}, 3 * ({MAX_RES} - ({r}))) & 7 AS INT) END")
 
 
 def unused_mask(r):
     """Ones in all digits finer than r."""
     if isinstance(r, int):
         return f"{(1 << (3 * (MAX_RES - r))) - 1}L"
-    return f"(shiftleft(1L, 3 * ({MAX_RES} - {r})) - 1L)"
+    return f"(shiftleft(1L, 3 * ({MAX_RES} - ({r}))) - 1L)"
 
 
 def is_pentagon_base(b):
@@ -99,13 +99,13 @@ def has_vertex_form(c):
 
 
 def parent(c, r):
-    r_ = str(r)
+    r_ = f"({r})"
     return (f"CASE WHEN {r_} BETWEEN 0 AND {resolution(c)} "
             f"THEN ({c} & ~{RES_MASK}L) | shiftleft(CAST({r_} AS BIGINT), 52) | {unused_mask(r)} END")
 
 
 def center_child(c, r):
-    r_ = str(r)
+    r_ = f"({r})"
     return (f"CASE WHEN {r_} BETWEEN {resolution(c)} AND {MAX_RES} THEN "
             f"({c} & ~{RES_MASK}L & ~{unused_mask(resolution(c))}) "
             f"| shiftleft(CAST({r_} AS BIGINT), 52) | {unused_mask(r)} END")
@@ -116,8 +116,8 @@ def _power7(n):
 
 
 def children_count(c, r):
-    depth = f"({r} - {resolution(c)})"
-    return (f"CASE WHEN {r} BETWEEN {resolution(c)} AND {MAX_RES} THEN CAST(CASE WHEN {is_pentagon(c)} "
+    depth = f"(({r}) - {resolution(c)})"
+    return (f"CASE WHEN ({r}) BETWEEN {resolution(c)} AND {MAX_RES} THEN CAST(CASE WHEN {is_pentagon(c)} "
             f"THEN 1 + 5 * (({_power7(depth)} - 1) DIV 6) ELSE {_power7(depth)} END AS BIGINT) END")
 
 
@@ -133,7 +133,7 @@ def first_child(c, r):
 def last_child(c, r):
     """Highest index among the descendants at r."""
     fill = sum(6 << (3 * n) for n in range(15))
-    return (f"CASE WHEN {r} BETWEEN {resolution(c)} AND {MAX_RES} THEN ({center_child(c, r)}) "
+    return (f"CASE WHEN ({r}) BETWEEN {resolution(c)} AND {MAX_RES} THEN ({center_child(c, r)}) "
             f"| ({fill}L & {unused_mask(resolution(c))} & ~{unused_mask(r)}) | {unused_mask(r)} END")
 
 
@@ -168,7 +168,7 @@ def child_at(p, position, r):
                f"+ 2 * {_power7('_lv - 1')} ELSE _n END"},
         {"_q": _octal_of_base7("_m")},
     ]
-    result = (f"CASE WHEN _ok THEN ({center_child(p, r)}) | shiftleft(_q, 3 * ({MAX_RES} - {r})) END")
+    result = (f"CASE WHEN _ok THEN ({center_child(p, r)}) | shiftleft(_q, 3 * ({MAX_RES} - ({r}))) END")
     return steps, result
 
 
@@ -177,7 +177,7 @@ def child_position(c, r):
     pent_of = [1 + 5 * (7 ** k - 1) // 6 for k in range(MAX_RES + 1)]
     steps = [
         {"_p": parent(c, r)},
-        {"_d": f"{resolution(c)} - {r}", "_pent": is_pentagon("_p")},
+        {"_d": f"{resolution(c)} - ({r})", "_pent": is_pentagon("_p")},
         {"_q": f"CASE WHEN _p IS NOT NULL THEN {used_digits(c)} & (shiftleft(1L, 3 * _d) - 1L) END"},
         {"_m": _base7_of_octal("_q"),
          "_lv": "CASE WHEN _q = 0 THEN 0 ELSE (length(bin(_q)) - 1) DIV 3 + 1 END"},
@@ -222,3 +222,12 @@ def assemble(base, digits, res):
               f"| shiftleft(CAST({base} AS BIGINT), 45) | shiftleft(_q, 3 * ({MAX_RES} - {res})) "
               f"| {unused_mask(res)} END")
     return steps, result
+
+
+def resolution_of(c):
+    """As ``resolution``, but NULL for NULL."""
+    return f"CAST(shiftrightunsigned({c}, 52) & 15 AS INT)"
+
+
+def base_cell_of(c):
+    return f"CAST(shiftrightunsigned({c}, 45) & 127 AS INT)"

@@ -55,24 +55,50 @@ def floor(x):
     return f"coalesce(floor({x}), 0L)"
 
 
-def project(df: DataFrame, steps) -> DataFrame:
+_constants = re.compile(r"array\([-0-9.eDL, ]*\)")
+# Rough budget, in characters of expression, for what one generated method may hold
+# and still be compiled by HotSpot (8000 bytes of bytecode).
+METHOD_BUDGET = 3400
+
+
+def weight(step):
+    return sum(len(_constants.sub("", e)) for e in step.values())
+
+
+def project(df: DataFrame, steps, cut=True) -> DataFrame:
+    """One projection per step.
+
+    Long chains are cut into several generated-code stages: HotSpot does not compile
+    methods over 8000 bytes, and running each projection on its own instead nests
+    hundreds of iterators.  A generator over a lambda is not code-generated, so it
+    ends a stage; it passes each row on unchanged.
+    """
+    spent, last = 0, None
     for step in steps:
+        if cut and spent and spent + weight(step) > METHOD_BUDGET:
+            unit = fresh("cut")
+            df = df.selectExpr("*", f"explode(transform(array({last}), x -> 0)) AS {unit}").drop(unit)
+            spent = 0
         df = df.selectExpr("*", *[f"{e} AS `{n}`" for n, e in step.items()])
+        spent += weight(step)
+        last = f"`{next(iter(step))}`"
     return df
 
 
-def run(df: DataFrame, steps, outputs, drop=()) -> DataFrame:
+def run(df: DataFrame, steps, outputs, drop=(), fused=False) -> DataFrame:
     """Apply the steps and keep the input columns plus ``outputs`` (name -> expression);
-    an output replaces an input column of the same name."""
+    an output replaces an input column of the same name.  ``fused`` is for short step
+    lists that fit into one generated method together with what surrounds them."""
     kept = [f"`{c}`" for c in df.columns if c not in outputs and c not in drop]
-    df = project(df, steps)
+    df = project(df, steps, cut=not fused)
     if not steps:
         return df.selectExpr(*kept, *[f"{e} AS `{n}`" for n, e in outputs.items()])
     # Handing the results through a one-element generator keeps the optimizer from
     # substituting the steps back into a filter or join condition on the outputs
     # (which multiplies them out); filters on the input columns still pass below it.
     fields = ", ".join(f"'{n}', {e}" for n, e in outputs.items())
-    return df.selectExpr(*kept, f"inline(array(named_struct({fields})))")
+    row = f"array(named_struct({fields}))"
+    return df.selectExpr(*kept, f"inline({row})" if fused else f"inline(transform({row}, r -> r))")
 
 
 def keep_if(df: DataFrame, condition) -> DataFrame:
