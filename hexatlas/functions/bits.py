@@ -231,3 +231,8 @@ def resolution_of(c):
 
 def base_cell_of(c):
     return f"CAST(shiftrightunsigned({c}, 45) & 127 AS INT)"
+
+
+def disk_size(k):
+    """Most cells within k steps."""
+    return f"CASE WHEN {k} >= 0 THEN 1L + 3L * {k} * ({k} + 1) END"

@@ -41,8 +41,12 @@ def pick(values, index):
     checks, which keeps methods below the size HotSpot stops compiling at.
     Callers guard the final result instead.
     """
-    zero = "0D" if isinstance(values[0], float) else "0"
-    return f"coalesce(get(array({', '.join(map(number, values))}), {index}), {zero})"
+    zero, kind = ("0D", "double") if isinstance(values[0], float) else (
+        ("0L", "bigint") if max(map(abs, values)) >= 2 ** 31 else ("0", "int"))
+    # Written as text that the optimizer folds into one array literal: as array(...) the
+    # table would be a node per entry in every analysis pass.
+    table = f"from_json('[{','.join(map(repr, values))}]', 'array<{kind}>')"
+    return f"coalesce(get({table}, {index}), {zero})"
 
 
 def whole(x):
@@ -55,7 +59,7 @@ def floor(x):
     return f"coalesce(floor({x}), 0L)"
 
 
-_constants = re.compile(r"array\([-0-9.eDL, ]*\)")
+_constants = re.compile(r"from_json\('[^']*', '[^']*'\)")
 # Rough budget, in characters of expression, for what one generated method may hold
 # and still be compiled by HotSpot (8000 bytes of bytecode).
 METHOD_BUDGET = 3400
@@ -65,40 +69,48 @@ def weight(step):
     return sum(len(_constants.sub("", e)) for e in step.values())
 
 
-def project(df: DataFrame, steps, cut=True) -> DataFrame:
+def end_stage(df: DataFrame, column) -> DataFrame:
+    """End a generated-code stage, passing rows on unchanged: a generator over a
+    lambda is not code-generated."""
+    unit = fresh("cut")
+    return df.selectExpr("*", f"explode(transform(array({column}), x -> 0)) AS {unit}").drop(unit)
+
+
+def project(df: DataFrame, steps) -> DataFrame:
     """One projection per step.
 
     Long chains are cut into several generated-code stages: HotSpot does not compile
     methods over 8000 bytes, and running each projection on its own instead nests
-    hundreds of iterators.  A generator over a lambda is not code-generated, so it
-    ends a stage; it passes each row on unchanged.
+    hundreds of iterators.
     """
     spent, last = 0, None
     for step in steps:
-        if cut and spent and spent + weight(step) > METHOD_BUDGET:
-            unit = fresh("cut")
-            df = df.selectExpr("*", f"explode(transform(array({last}), x -> 0)) AS {unit}").drop(unit)
-            spent = 0
+        if spent and spent + weight(step) > METHOD_BUDGET:
+            df, spent = end_stage(df, last), 0
         df = df.selectExpr("*", *[f"{e} AS `{n}`" for n, e in step.items()])
         spent += weight(step)
         last = f"`{next(iter(step))}`"
     return df
 
 
-def run(df: DataFrame, steps, outputs, drop=(), fused=False) -> DataFrame:
+def run(df: DataFrame, steps, outputs, drop=(), first=False) -> DataFrame:
     """Apply the steps and keep the input columns plus ``outputs`` (name -> expression);
-    an output replaces an input column of the same name.  ``fused`` is for short step
-    lists that fit into one generated method together with what surrounds them."""
+    an output replaces an input column of the same name.
+
+    Long step lists start a generated-code stage of their own, unless ``first`` says
+    that what comes before is only a scan.
+    """
     kept = [f"`{c}`" for c in df.columns if c not in outputs and c not in drop]
-    df = project(df, steps, cut=not fused)
     if not steps:
         return df.selectExpr(*kept, *[f"{e} AS `{n}`" for n, e in outputs.items()])
+    if not first and sum(map(weight, steps)) > METHOD_BUDGET / 2:
+        df = end_stage(df, f"`{df.columns[0]}`")
+    df = project(df, steps)
     # Handing the results through a one-element generator keeps the optimizer from
     # substituting the steps back into a filter or join condition on the outputs
     # (which multiplies them out); filters on the input columns still pass below it.
     fields = ", ".join(f"'{n}', {e}" for n, e in outputs.items())
-    row = f"array(named_struct({fields}))"
-    return df.selectExpr(*kept, f"inline({row})" if fused else f"inline(transform({row}, r -> r))")
+    return df.selectExpr(*kept, f"inline(array(named_struct({fields})))")
 
 
 def keep_if(df: DataFrame, condition) -> DataFrame:

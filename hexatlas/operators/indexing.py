@@ -18,13 +18,12 @@ def index_points(df: DataFrame, lat="lat", lng="lng", res=9, out="cell") -> Data
     steps = frames.index_degrees(lat, lng, res, o)
     finite = " AND ".join(f"NOT isnan(CAST({c} AS DOUBLE)) AND abs(CAST({c} AS DOUBLE)) < 1e300D" for c in (lat, lng))
     ok = f"{lat} IS NOT NULL AND {lng} IS NOT NULL AND {finite} AND {valid_res(res)}"
-    short = isinstance(res, int) and res <= 9
-    return run(tuned(df), steps, {out: f"CASE WHEN {ok} THEN {o}cell END"}, fused=short)
+    return run(tuned(df), steps, {out: f"CASE WHEN {ok} THEN {o}cell END"}, first=True)
 
 
 def _centers(cell, o):
     steps = frames.cell_frame(cell, o) + frames.point_of_face(f"{o}face", f"{o}fx", f"{o}fy", o)
-    return steps, f"{bits.is_valid_cell(cell)}"
+    return [{f"{o}ok": bits.is_valid_cell(cell)}] + steps, f"{o}ok"
 
 
 def cell_centroids(df: DataFrame, cell="cell", lat="lat", lng="lng") -> DataFrame:
@@ -32,7 +31,7 @@ def cell_centroids(df: DataFrame, cell="cell", lat="lat", lng="lng") -> DataFram
     o = fresh("ct")
     steps, ok = _centers(cell, o)
     return run(tuned(df), steps, {lat: f"CASE WHEN {ok} THEN {frames.latitude(o)} END",
-                                  lng: f"CASE WHEN {ok} THEN {frames.longitude(o)} END"}, fused=True)
+                                  lng: f"CASE WHEN {ok} THEN {frames.longitude(o)} END"})
 
 
 ALL = [str(n) for n in range(6)]
