@@ -274,3 +274,24 @@ def digit_pairs():
             x, y = 3 * p - q + a, p + 2 * q + b
             out[(x % 7) * 7 + y % 7] = (odd * 8 + even, x, y)
     return [out[n] for n in range(49)]
+
+
+@lru_cache(None)
+def coarse_centers(res):
+    """Unit vectors of the cells of resolution 0 or 1, numbered base * 7^res + digit
+    (a missing pentagon digit repeats the pentagon)."""
+    out = []
+    for base in range(NUM_BASE_CELLS):
+        _, _, home, home_pos, pent = base_cells()[base]
+        for d in range(7 ** res):
+            z = home_pos + (step_scale(1) * DIGIT_STEP[d] if d else 0)
+            if pent:
+                rel = z - home_pos
+                w = int((math.degrees(cmath.phase(rel)) % 360 + 30) // 60) % 6 if d > 1 else 7
+                face, n, off = frame_rows()[80 + 8 * pentagons().index(base) + (6 if w == 4 and d == 5 else w)]
+                z = home_pos if d == 1 else z
+            else:
+                sides = [1 + (z * c.conjugate()).real / 2 for c in CORNERS]
+                face, n, off = frame_rows()[4 * home + (0 if min(sides) > -1e-9 else 1 + sides.index(min(sides)))]
+            out.append(plane_to_sphere(face, turn(n) * z + off))
+    return out
