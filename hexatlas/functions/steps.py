@@ -6,17 +6,13 @@ list of *steps*, each a ``{column: SQL expression}`` dict that may read the
 columns of earlier steps.  Every step becomes one ``Project``; they all run
 inside the same generated-code stage, with no shuffle and no Python.
 
-The same list of steps can be compiled into
-
-* projections over a DataFrame (``run``),
-* a chain of temporary SQL functions (``create_function``), whose arguments bind
-  the intermediate values, and
-* one expression for use inside a lambda (``as_lambda``).
+The same list of steps can be compiled into projections over a DataFrame (``run``) or,
+if short, into one expression with the steps bound by lambdas (``as_lambda``).
 """
 import re
 from itertools import count
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 _serial = count()
 
@@ -123,18 +119,6 @@ def keep_if(df: DataFrame, condition) -> DataFrame:
 _word = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
-def _live(steps, result):
-    """Names still needed before each step."""
-    need = set(_word.findall(result))
-    out = []
-    for step in reversed(steps):
-        need = (need - set(step)) | {w for e in step.values() for w in _word.findall(e)}
-        out.append(need)
-    return out[::-1]
-
-
-
-
 def as_lambda(steps, result):
     """One expression with the steps bound by nested lambdas (for use inside
     higher-order functions, where projections are not available)."""
@@ -148,34 +132,6 @@ def as_lambda(steps, result):
     return expr
 
 
-def create_function(spark: SparkSession, name, params, steps, result, returns):
-    """Register ``name(params)`` as a temporary SQL function.
-
-    Each step is a helper function that receives the live values as arguments;
-    Spark inlines the chain as projections.
-    """
-    types = dict(params)
-    scope = spark.sql("SELECT " + ", ".join(f"CAST(NULL AS {t}) AS {p}" for p, t in params)) if params else None
-    bound = [types.copy()]
-    for step in steps:
-        scope = project(scope, [step])
-        kinds = {f.name: f.dataType.simpleString() for f in scope.schema.fields}
-        bound.append({**bound[-1], **{n: kinds[n] for n in step}})
-    live = _live(steps, result) + [set(_word.findall(result))]
-
-    def declare(fn, args, body, kind):
-        head = ", ".join(f"{a} {t}" for a, t in args)
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {fn}({head}) RETURNS {kind} RETURN {body}")
-
-    names = [name] + [f"{name}__{n}" for n in range(1, len(steps) + 1)]
-    args = [list(params)] + [sorted((n, t) for n, t in bound[k].items() if n in live[k])
-                             for k in range(1, len(steps) + 1)]
-    declare(names[-1], args[-1], f"CAST({result} AS {returns})", returns)
-    for k in range(len(steps) - 1, -1, -1):
-        call = ", ".join(steps[k].get(n, n) for n, _ in args[k + 1])
-        declare(names[k], args[k], f"{names[k + 1]}({call})", returns)
-
-
 def scoped(steps, *results):
     """Rename the step columns so that two computations can share a table."""
     mine = {n for s in steps for n in s}

@@ -20,14 +20,15 @@ def boundary_sides(df: DataFrame, cell="cell", by=(), res=None) -> DataFrame:
     sides = adjacency_edges(df.select(*keys, F.expr(cell).alias("cell")), "cell", res)
     held = df.selectExpr(*[f"{k} AS _h{n}" for n, k in enumerate(keys)], f"{cell} AS _held")
     same = " AND ".join([f"{k} <=> _h{n}" for n, k in enumerate(keys)] + ["destination = _held"])
-    outer = sides.join(held, F.expr(same), "left_anti")
+    # few sides are left from here on; a fresh plan also keeps the next steps quick to plan
+    outer = cut_lineage(sides.join(held, F.expr(same), "left_anti"))
     outer = edge_outlines(outer, "edge", "_pts")
     o = fresh("bs")
     steps = frames.cell_frame("cell", o) + [{f"{o}pent": bits.is_pentagon("cell")}]
     outer = run(outer, steps, {"_n": shapes.side_of_direction(o, "direction"),
                                "_corners": f"CASE WHEN {o}pent THEN 5 ELSE 6 END"})
     outer = outer.selectExpr("*", "(_n + 1) % _corners AS _m")
-    outer = nth_vertices(outer, "cell", "_n", "start", res)
+    outer = cut_lineage(nth_vertices(outer, "cell", "_n", "start", res))
     outer = nth_vertices(outer, "cell", "_m", "end", res)
     return outer.selectExpr(*keys, "cell", "edge", "start", "end", "slice(_pts, 1, size(_pts) - 1) AS points")
 
