@@ -138,9 +138,9 @@ def last_child(c, r):
 
 
 def _octal_of_base7(n, depth=MAX_RES):
-    """Base-7 digits of n, packed three bits each."""
+    """Base-7 digits of n (a BIGINT if more than ten), packed three bits each."""
     return "(" + " | ".join(
-        f"shiftleft(({n} DIV {7 ** k}L) % 7, {3 * k})" if k else f"({n} % 7)" for k in range(depth)) + ")"
+        f"shiftleft(({n} DIV {7 ** k}) % 7, {3 * k})" if k else f"({n} % 7)" for k in range(depth)) + ")"
 
 
 def _base7_of_octal(q, depth=MAX_RES):

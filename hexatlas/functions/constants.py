@@ -91,3 +91,11 @@ CONTAINMENT_MODES = {
     "CONTAINMENT_OVERLAPPING_BBOX": "overlap_bbox",
     "overlap_bbox": "overlap_bbox",
 }
+
+# Published average hexagon edge length per resolution 0-15, in kilometres.
+EDGE_LENGTH_AVG_KM = [
+    1281.256011, 483.0568391, 182.5129565, 68.97922179,
+    26.07175968, 9.854090990, 3.724532667, 1.406475763,
+    0.531414010, 0.200786148, 0.075863783, 0.028663897,
+    0.010830188, 0.004092010, 0.001546100, 0.000584169,
+]

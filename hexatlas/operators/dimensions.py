@@ -1,10 +1,13 @@
 """Tables of the grid itself."""
+import math
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import bits
-from ..functions.constants import MAX_RES, NUM_BASE_CELLS
-from ..functions.steps import fresh, run
-from .indexing import AREA_UNITS, LENGTH_UNITS, unit_factor
+from ..functions.constants import EDGE_LENGTH_AVG_KM, MAX_RES, NUM_BASE_CELLS
+from ..functions.steps import number, pick
+from .indexing import AREA_UNITS, cell_areas
 
 BASE_COUNT = NUM_BASE_CELLS
 
@@ -34,6 +37,17 @@ def grid_cells(spark: SparkSession, res: int) -> DataFrame:
 
 
 def resolution_stats(spark: SparkSession) -> DataFrame:
-    """Per resolution: number of cells."""
-    return spark.range(MAX_RES + 1).selectExpr("CAST(id AS INT) AS res").selectExpr(
-        "res", f"{bits.cells_at('res')} AS num_cells")
+    """Per resolution: number of cells, average hexagon area (what the sphere leaves
+    beside the twelve pentagons) and average edge length."""
+    pents = (cell_areas(pentagon_cells(spark), unit="rads^2").groupBy("res").agg(F.sum("area").alias("_p")))
+    km2 = f"({number(4 * math.pi)} - _p) / (num_cells - 12) * {number(AREA_UNITS['km^2'])}"
+    km = pick(EDGE_LENGTH_AVG_KM, "res")
+    return pents.selectExpr("res", f"{bits.cells_at('res')} AS num_cells", "_p").selectExpr(
+        "res", "num_cells", f"{km2} AS area_avg_km2", f"{km2} * 1e6D AS area_avg_m2",
+        f"{km} AS edge_avg_km", f"{km} * 1000D AS edge_avg_m")
+
+
+def with_averages(df: DataFrame, res="res") -> DataFrame:
+    """Averages of each row's resolution; NULL outside 0-15."""
+    stats = F.broadcast(resolution_stats(df.sparkSession).withColumnRenamed("res", "_sr"))
+    return df.join(stats, F.expr(f"{res} = _sr"), "left").drop("_sr")

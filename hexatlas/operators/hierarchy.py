@@ -54,20 +54,26 @@ def descendant_filter(cell, parent, res):
 def drilldown_cells(df: DataFrame, cell="cell", res=None, out="child") -> DataFrame:
     """One row per descendant at ``res`` (number or column).
 
-    Descendants are numbered, and each number's digits are the child's digits, so the
-    expansion is one narrow generator; the numbers are generated in two stages to
-    keep any one array small.  Cells finer than ``res`` give no rows.
+    Numbers in base 7 are the digits of the children, so the expansion is one narrow
+    generator.  High and low digits are generated apart, to keep any one array small
+    and the per-row arithmetic short.  A pentagon's numbers that lead with the missing
+    digit are skipped.  Cells finer than ``res`` give no rows.
     """
     o = fresh("dd")
     kept = [f"`{c}`" for c in df.columns if c != out]
     ok = f"{bits.is_valid_cell(cell)} AND {res} BETWEEN {bits.resolution(cell)} AND {MAX_RES}"
-    wide = df.filter(ok).selectExpr("*", f"{bits.children_count(cell, res)} AS {o}n")
-    # at most 7^7 numbers per array: outer blocks, then positions within a block
     block = 7 ** 7
-    wide = wide.selectExpr("*", f"explode(sequence(0L, ({o}n - 1) DIV {block}L)) AS {o}k")
-    wide = wide.selectExpr("*", f"explode(sequence({o}k * {block}L, least({o}n, ({o}k + 1) * {block}L) - 1)) AS {o}i")
-    steps, result = scoped(*bits.child_at(cell, f"{o}i", res))
-    return project(wide, steps).selectExpr(*kept, f"inline(array(named_struct('{out}', {result})))")
+    wide = df.filter(ok).selectExpr("*", f"{bits._power7(f'({res}) - {bits.resolution(cell)}')} AS {o}n",
+                                    f"{bits.is_pentagon(cell)} AS {o}pent", f"{bits.center_child(cell, res)} AS {o}first")
+    wide = wide.selectExpr("*", f"explode(sequence(0L, CAST(({o}n - 1) DIV {block}L AS BIGINT))) AS {o}k")
+    wide = wide.selectExpr("*", f"shiftleft({bits._octal_of_base7(f'{o}k', 8)}, 21) AS {o}high")
+    wide = wide.selectExpr("*", f"explode(sequence(0, CAST(least({o}n, {block}L) - 1 AS INT))) AS {o}i")
+    steps = [{f"{o}q": f"{o}high | CAST({bits._octal_of_base7(f'{o}i', 7)} AS BIGINT)"}]
+    keep = f"CASE WHEN {o}pent THEN {bits.leading_digit(f'{o}q')} <> 1 ELSE true END"
+    full = project(wide, steps).selectExpr(
+        *kept, f"inline(array(named_struct('{out}', {o}first | shiftleft({o}q, 3 * ({MAX_RES} - ({res}))), "
+               f"'{o}keep', {keep})))")
+    return full.filter(f"{o}keep").drop(f"{o}keep")
 
 
 def center_children(df: DataFrame, cell="cell", res=None, out="child") -> DataFrame:

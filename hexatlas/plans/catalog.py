@@ -2,7 +2,6 @@
 from pyspark.sql import functions as F
 
 from ..functions import bits
-from ..functions.steps import run
 from ..operators import audit, dimensions, dissolve, hierarchy, indexing, polyfill, topology, traversal
 from ..sources import polygons
 from . import duck
@@ -484,14 +483,14 @@ def _(spark, sf):
     cells = keyed(spark, sf, 3)
     levels = hierarchy.rollup_levels(cells, [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("n")], levels=(3, 2, 1))
     return (levels.groupBy("res").agg(F.count(F.lit(1)).alias("used"))
-            .join(F.broadcast(dimensions.resolution_stats(spark).select("res", "num_cells")), "res"))
+            .selectExpr("res", "used", f"{bits.cells_at('res')} AS num_cells"))
 
 
 @query("resolution_averages")
 def _(spark, sf):
     """Average cell size next to each resolution's use."""
     used = table(spark, sf, "customer").groupBy(F.expr("CAST(c_custkey % 16 AS INT)").alias("res")).agg(F.count(F.lit(1)).alias("n"))
-    return used.join(F.broadcast(dimensions.resolution_stats(spark)), "res")
+    return dimensions.with_averages(used)
 
 
 # ---- regions -----------------------------------------------------------------------------------

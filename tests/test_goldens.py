@@ -113,3 +113,11 @@ def test_sql_functions(spark):
     r = spark.sql("SELECT t_get_num_cells(5), t_get_num_cells(-1), size(t_get_pentagons(5)), t_great_circle_distance(5, 5, 15, 15, 'km'), "
                   "t_string_to_index('zz'), t_is_valid_cell(t_string_to_index('85283473fffffff'))").first()
     assert tuple(r)[:3] == (2016842, None, 12) and r[3] == pytest.approx(1559.5386031690684) and r[4] is None and r[5]
+
+
+def test_average_areas(spark):
+    from hexatlas.operators import dimensions
+    r = {x.res: x for x in dimensions.resolution_stats(spark).collect()}
+    assert r[0].area_avg_km2 == pytest.approx(4357449.416078383, rel=1e-9)
+    assert r[1].area_avg_m2 == pytest.approx(609788441794.1339, rel=1e-9)
+    assert r[5].num_cells == 2016842
