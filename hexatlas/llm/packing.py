@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import load, stash
 
 CAPACITY, ROUNDS, RATE, END_ID, CACHE = 4096, 64, 0.6, 1, 400_000
-SHARES = (1.0, 0.95, 0.9, 0.85, 0.8)  # of the fractional solution, tried in rounding
+SHARES = (1.0, 0.95, 0.9, 0.8, 0.7, 0.6)  # of the fractional solution, tried in rounding
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -127,10 +127,12 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
 def rounded(lengths: np.ndarray, left: np.ndarray, chosen: list, share: float, capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """The configurations taken a whole number of times each, about `share` of their fractional value as far as pieces remain; the
     remaining pieces by best fit."""
-    patterns = []
+    patterns, due = [], 0.0
     for index, copies, step in chosen:
-        times = min(max(1, int(step * share)), int((left[index] // copies).min()))
+        due += step * share
+        times = min(int(due), int((left[index] // copies).min()))
         if times > 0:
+            due -= times
             left[index] -= copies * times
             patterns.append((times, list(zip(lengths[index].tolist(), copies.tolist()))))
     return patterns + best_fit(dict(zip(lengths.tolist(), left.tolist())), capacity)
