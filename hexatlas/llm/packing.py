@@ -10,6 +10,9 @@ applied to all pieces by their numbers within their length.
 from __future__ import annotations
 
 import bisect
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import load, stash
 
-CAPACITY, ROUNDS, RATE, END_ID, CACHE = 4096, 64, 0.6, 1, 400_000
+CAPACITY, ROUNDS, RATE, END_ID, CACHE = 4096, 64, 0.6, 1, 600_000
+LONG = 1 << 20  # bytes of text split into words at once
 SHARES = (1.0, 0.95, 0.9, 0.8, 0.7, 0.6)  # of the fractional solution, tried in rounding
 
 
@@ -31,40 +35,134 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
-    """Token ids of texts as bytes (little-endian unsigned 32 bit). The vocabulary drops white space and never joins across it, so a
-    text's ids are those of its ASCII-space-separated words in turn; a bounded cache keeps each word's."""
+MARK = "\0"  # stands for the vocabulary's word end while words are encoded
+
+
+def byte_letters() -> dict[str, int]:
+    """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves, others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def merge_table(path: str, word_end: str = "</w>") -> tuple[dict[bytes, int], np.ndarray]:
+    """The vocabulary's merges in order as {bytes: rank}, word ends written as MARK, and the token id of each rank."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    letters = byte_letters()
+
+    def raw(token: str) -> bytes:
+        body = token.removesuffix(word_end)
+        return bytes(letters[c] for c in body) + MARK.encode() * (body != token)
 
-    def __init__(self, path: str, cache: int = CACHE):
-        from tokenizers import Tokenizer
+    ranks = {bytes([b]): b for b in range(256)} | {bytes([b]) + MARK.encode(): 256 + b for b in range(256)}
+    for pair in model["merges"]:
+        ranks.setdefault(raw("".join(pair if isinstance(pair, list) else pair.split(" "))), len(ranks))
+    ids = np.zeros(len(ranks), dtype="<u4")
+    for token, i in model["vocab"].items():
+        if all(c in letters for c in token.removesuffix(word_end)) and raw(token) in ranks:
+            ids[ranks[raw(token)]] = i
+    return ranks, ids
 
-        self.tokenizer, self.cache, self.known = Tokenizer.from_file(path), cache, {}
 
-    def __call__(self, text: str | None) -> bytes:
-        words = (text or "").encode("utf-8", "replace").split()
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            fresh = list({w for w in words if w not in known})
-        if len(known) + len(fresh) > self.cache:
-            known.clear()
-            fresh = list(set(words))
-        for w, e in zip(fresh, self.tokenizer.encode_batch([w.decode("utf-8") for w in fresh], add_special_tokens=False)):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([known[w] for w in words])
+class Encoder:
+    """Token ids of texts as bytes (little-endian unsigned 32 bit). The vocabulary drops white space, never joins across it and ignores
+    case, so a text's ids are those of its words, split at ASCII white space, in turn; a bounded cache keeps each word's.
+
+    New words of Latin letters and ASCII signs run through the same merges many at a time; all others, which the vocabulary's
+    normalizer may change, one by one through the tokenizer itself.
+    """
+
+    SPACE = re.compile(rb"[ \t-\r]")
+
+    def __init__(self, path: str, table: tuple[dict[bytes, int], np.ndarray], cache: int = CACHE):
+        import regex
+        import tiktoken
+
+        self.path, self.cache, self.known, self.tokenizer = path, cache, {}, None
+        self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        # signs and letters that composition (NFC) leaves alone and whose lower case doesn't depend on their neighbours
+        self.plain = regex.compile(r"[!-~\u00c0-\u012f\u0132-\u017e]+")
+        self.merges = tiktoken.Encoding("merges", pat_str=r"[^\x00]*\x00", mergeable_ranks=table[0], special_tokens={})
+        self.token_ids = table[1]
+
+    def _learn(self, words: set[bytes]) -> None:
+        plain, odd, lowered = [], [], {}
+        for w in words:
+            text = w.decode("utf-8")
+            if self.plain.fullmatch(text) and "<|" not in text:
+                plain.append(w)
+                lowered[w] = text.lower()
+            else:
+                odd.append((w, text))
+        if plain:
+            # every word's parts end in MARK, and a lone MARK ends the word
+            marked = self.words.sub(r"\g<0>" + MARK, "\n".join(lowered.values()) + "\n").replace("\n", MARK)
+            ranks = np.array(self.merges.encode_ordinary(marked), dtype=np.int64)
+            ends = np.flatnonzero(ranks == 0)
+            raw = self.token_ids[np.delete(ranks, ends)].tobytes()
+            cuts = ((ends - np.arange(len(ends))) * 4).tolist()
+            for w, start, end in zip(plain, [0, *cuts], cuts):
+                self.known[w] = raw[start:end]
+        if odd:
+            if self.tokenizer is None:
+                os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task on each core
+                from tokenizers import Tokenizer
+
+                self.tokenizer = Tokenizer.from_file(self.path)
+            found = self.tokenizer.encode_batch_fast([text for _, text in odd], add_special_tokens=False)
+            for (w, _), e in zip(odd, found):
+                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def _ids(self, lists: list[list[bytes]]) -> list[bytes]:
+        needed = set().union(*lists)
+        fresh = needed - self.known.keys()
+        if len(self.known) + len(fresh) > self.cache:
+            self.known.clear()
+            fresh = needed
+        if fresh:
+            self._learn(fresh)
+        find = self.known.__getitem__
+        return [b"".join(map(find, words)) for words in lists]
+
+    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text; short texts some hundred at once, long ones a megabyte at once."""
+        run, size = [], 0
+        for text in texts:
+            raw = (text or "").encode("utf-8", "replace").lower()  # lower-cases ASCII; the vocabulary's own rule does the rest
+            if len(raw) > LONG:
+                yield from self._ids(run)
+                run, size = [], 0
+                yield self._long(raw)
+            else:
+                run.append(raw.split())
+                size += len(raw)
+                if size > LONG:
+                    yield from self._ids(run)
+                    run, size = [], 0
+        yield from self._ids(run)
+
+    def _long(self, raw: bytes) -> bytes:
+        out, at = [], 0
+        while at < len(raw):
+            cut = self.SPACE.search(raw, min(len(raw), at + LONG))
+            end = cut.start() if cut else len(raw)
+            out += self._ids([raw[at:end].split()])
+            at = end
+        return b"".join(out)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, task, nth): nth numbers a task's pieces of one length from 0."""
     end = np.array([END_ID], dtype="<u4").tobytes()
+    table = docs.sparkSession.sparkContext.broadcast(merge_table(path))  # of the vocabulary's fixed size
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, seen, task = Encoder(path), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
+        encode, seen, task = Encoder(path, table.value), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for b in batches:
             rows = []
-            for doc_id, text in zip(b["doc_id"], b["text"]):
-                ids = encode(text) + end
+            for doc_id, ids in zip(b["doc_id"], encode(b["text"])):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     n = len(part) // 4
