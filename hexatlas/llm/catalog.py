@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import packing, sharding, simhash
+from . import line_dedup, packing, sharding, simhash
 
 QUERIES = {f.__name__: f for f in (
+    line_dedup.op2_line_dedup,
     sharding.op3_feistel_shards,
     simhash.op6_simhash_groups,
     packing.op7_packed_sequences,
 )}
 
 CHECKS = {
+    "op2_line_dedup": line_dedup.op2_sql(),
     "op3_feistel_shards": sharding.op3_sql(),
 }
