@@ -46,14 +46,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Rows (doc_id, fp): fp as a signed long."""
+    """Rows (doc_id, t, fp): t a hash of the text, fp as a signed long."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fps = np.array([fingerprint(t, words) for t in b["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fps.view(np.int64)})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "t": b["t"], "fp": fps.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(each, "doc_id long, fp long")
+    # as text, a null doc_id passes pandas unchanged
+    source = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
+    return source.mapInPandas(each, "doc_id string, t long, fp long").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def cells(fps: DataFrame) -> DataFrame:
@@ -181,29 +183,28 @@ def links(fps: DataFrame, bits: int = BITS, cell: int = CELL) -> DataFrame:
 
 
 def groups(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """One row per row of docs: doc_id, fp (signed long), component_id (smallest doc_id that links reach, its own included).
+    """One row per row of docs: doc_id, t, fp (signed long), root, component_id (smallest doc_id that links reach, its own included).
 
     Null and empty texts have fingerprint 0 and link like any other. Null doc_ids stay and take part; a component of only null
-    doc_ids has a null id. Repeated rows stay repeated. Empty table: no rows. Other columns are not read.
+    doc_ids has a null id; root tells components apart in any case. Repeated rows stay repeated. Empty table: no rows. Other
+    columns are not read.
     """
     marked = stash(fingerprints(docs, words))
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = components(links(classes.select("fp"), bits)).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stash(rooted.join(smallest, "root").select("fp", "component_id"))
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stash(rooted.join(smallest, "root").select("fp", "root", "component_id"))
+    return marked.join(named, "fp").select("doc_id", "t", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """The rows of docs that stand for their group: the one with the group's smallest doc_id; the columns of docs.
-
-    Of rows that share that doc_id one stays. In a group of only null doc_ids the row of the smallest (fp, text) stays.
-    """
-    marked = groups(docs, words, bits)
-    keepers = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers["doc_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of docs for each group: that of the smallest (doc_id, hash of the text), null doc_ids last; the columns of docs."""
+    last = F.lit((1 << 63) - 1)
+    chosen = stash(groups(docs, words, bits).groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", last).alias("_d"), F.col("t").alias("_t"))).alias("k"))
+                   .select("k.*"))
+    keyed = docs.withColumns({"_d": F.coalesce(docs["doc_id"].cast("long"), last), "_t": F.xxhash64(docs["text"])})
+    return keyed.join(chosen, ["_d", "_t"], "left_semi").dropDuplicates(["_d", "_t"]).drop("_d", "_t")
 
 
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
