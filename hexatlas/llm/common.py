@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,6 +35,25 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(conf).delete(path, True)
 
 
+SIEVE_BITS = 26
+
+
+def sieve(df: DataFrame, key: Column, members: DataFrame, out: bool = False) -> DataFrame:
+    """The rows of df whose key hash (a long) may be in members' one column, or with `out` all others; no shuffle of df.
+
+    A bitmap of 2^26 bits by the hash's upper bits, sent to all tasks: at most 2^20 rows of two longs, whatever the members. Where
+    they are so many that it fills up, nothing more is dropped: a join on the key itself has to follow.
+    """
+    name = members.columns[0]
+    word = F.shiftrightunsigned(F.col(name), 64 - SIEVE_BITS + 6)
+    bit = F.expr(f"shiftleft(1L, int(shiftrightunsigned(`{name}`, {64 - SIEVE_BITS}) & 63))")
+    words = members.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    marked = df.withColumn("_key", key).withColumn("_word", F.shiftrightunsigned("_key", 64 - SIEVE_BITS + 6))
+    test = F.expr(f"shiftrightunsigned(_bits, int(shiftrightunsigned(_key, {64 - SIEVE_BITS}) & 63)) & 1 = 1")
+    joined = marked.join(F.broadcast(words), "_word", "left" if out else "inner")
+    return joined.where(~F.coalesce(test, F.lit(False)) if out else test).drop("_word", "_bits", "_key")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (u, v): rows (node, root), root the smallest node reachable; self-loops and repeats are harmless.
 

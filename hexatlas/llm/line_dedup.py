@@ -12,10 +12,10 @@ words with another line, which two lines within one edit always do. Links are ve
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import load, stash
+from .common import discard, load, sieve, stash
 
 MIN_WORDS, NEAR_WORDS = 5, 10
 CLASS = ["k1", "k2"]  # two hashes of a line's words
@@ -50,61 +50,74 @@ def lines(keyed: DataFrame, min_words: int, near_words: int) -> DataFrame:
                     F.when(n >= near_words, _half_keys(F.col("w"), n)).alias("halves")))
 
 
-def candidates(classes: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Rows (k1, k2, first, w): the first occurrence, with its words, of each class that shares a half key with another class."""
-    halves = classes.where("halves IS NOT NULL").select(*CLASS, F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.min("k1").alias("_a"), F.max("k1").alias("_b")).where("_a <> _b").select("half")
-    chosen = halves.join(shared, "half", "left_semi").select(*CLASS).distinct()
-    wanted = classes.join(chosen, CLASS).select(*CLASS, "first")
+def candidates(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Rows (id, k1, k2, w): the first occurrence, with its words, of each class that shares a half key with another class.
+
+    Ids follow the order of places: a smaller id is an earlier line.
+    """
+    halves = rows.where("halves IS NOT NULL").select("k1", F.explode("halves").alias("half"))
+    shared = stash(halves.groupBy("half").agg(F.min("k1").alias("_a"), F.max("k1").alias("_b")).where("_a <> _b").select("half"))
+    chosen = sieve(halves, F.col("half"), shared).join(shared, "half", "left_semi").select("k1").distinct()
+    wanted = stash(classes.join(chosen, "k1", "left_semi").select(*CLASS, "first"))
+    place = F.xxhash64("first.d", "first.t")
     by_doc = wanted.groupBy(F.col("first.d").alias("d"), F.col("first.t").alias("t")).agg(
         F.collect_list(F.struct(*CLASS, "first")).alias("wanted"))  # no more than the document's own lines
-    one = keyed.select("d", "t", "text").join(by_doc, ["d", "t"]).dropDuplicates(["d", "t"])
-    return (one.select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("c"))
-            .select("c.*", _words(F.element_at("all", F.col("c.first.i") + 1)).alias("w")))
+    texts = sieve(keyed.select("d", "t", "text"), F.xxhash64("d", "t"), wanted.select(place.alias("doc")))
+    one = texts.join(by_doc, ["d", "t"]).dropDuplicates(["d", "t"])
+    found = (one.select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("c"))
+             .select("c.*", F.element_at("all", F.col("c.first.i") + 1).alias("line")))
+    ordered = found.repartitionByRange("first.d", "first.t", "first.i").sortWithinPartitions("first.d", "first.t", "first.i")
+    cand = stash(ordered.select(F.monotonically_increasing_id().alias("id"), *CLASS, _words("line").alias("w")))
+    for done in (shared, wanted):
+        discard(done)
+    return cand
 
 
 def variants(cand: DataFrame) -> DataFrame:
-    """Rows (k1, k2, first, n, j, v1, v2): for j >= 0 the key of the line without word j, for j = -1 of the whole line.
+    """Rows (id, n, j, v): for j >= 0 the key of the line without word j, for j = -1 of the whole line.
 
-    A key is the sum of hashes of each word with its place, twice over; running sums give all of a line's keys in linear time.
+    A key is a hash of two sums of hashes of each word with its place; running sums give all of a line's keys in linear time.
     """
     def placed(seed: int, place: Column) -> Column:
-        return F.xxhash64(F.lit(seed), "word", place).bitwiseAND(F.lit((1 << 40) - 1))
-
-    at = F.col("j")
-    words = cand.select(*CLASS, "first", F.size("w").alias("n"), F.posexplode("w").alias("j", "word"))
-    words = words.select(*CLASS, "first", "n", "j", *[placed(s, at).alias(f"own{s}") for s in (1, 2)],
-                         *[placed(s, at - 1).alias(f"moved{s}") for s in (1, 2)])
-    order = "PARTITION BY k1, k2 ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    sums = words.select(*CLASS, "first", "n", "j", "own1", "own2",
-                        *[F.expr(f"coalesce(sum(own{s}) OVER ({order}), 0)").alias(f"before{s}") for s in (1, 2)],
-                        *[F.expr(f"coalesce(sum(moved{s}) OVER ({order}), 0) + moved{s}").alias(f"upto{s}") for s in (1, 2)],
-                        *[F.expr(f"sum(moved{s}) OVER (PARTITION BY k1, k2)").alias(f"all{s}") for s in (1, 2)])
-    without = sums.select(*CLASS, "first", "n", "j", *[(F.col(f"before{s}") + F.col(f"all{s}") - F.col(f"upto{s}")).alias(f"v{s}") for s in (1, 2)])
-    whole = sums.where(F.col("j") == F.col("n") - 1).select(
-        *CLASS, "first", "n", F.lit(-1).alias("j"), *[(F.col(f"before{s}") + F.col(f"own{s}")).alias(f"v{s}") for s in (1, 2)])
-    return without.unionByName(whole)
+        return F.xxhash64(F.lit(seed), "h", place).bitwiseAND(F.lit((1 << 40) - 1))
+
+    words = cand.select("id", F.posexplode(F.transform("w", lambda x: F.xxhash64(x))).alias("j", "h"))
+    line = Window.partitionBy("id")
+    upto = line.orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
+    sums = words.select("id", "j", F.count("*").over(line).cast("int").alias("n"),
+                        *[F.sum(placed(s, F.col("j"))).over(upto).alias(f"own{s}") for s in (1, 2)],
+                        *[placed(s, F.col("j")).alias(f"last{s}") for s in (1, 2)],
+                        *[F.sum(placed(s, F.col("j") - 1)).over(upto).alias(f"moved{s}") for s in (1, 2)],
+                        *[F.sum(placed(s, F.col("j") - 1)).over(line).alias(f"all{s}") for s in (1, 2)])
+    cut = F.xxhash64(*[F.col(f"own{s}") - F.col(f"last{s}") + F.col(f"all{s}") - F.col(f"moved{s}") for s in (1, 2)])
+    whole = F.when(F.col("j") == F.col("n") - 1, F.xxhash64("own1", "own2"))
+    both = F.array(F.struct("j", cut.alias("v")), F.struct(F.lit(-1).alias("j"), whole.alias("v")))
+    return sums.select("id", "n", F.explode(both).alias("e")).select("id", "n", "e.j", "e.v").where("v IS NOT NULL")
 
 
 def links(cand: DataFrame) -> DataFrame:
-    """Rows (k1, k2, other, j): a class and the earliest line found within one edit; j the word deleted from the longer, -1: substituted."""
+    """Rows (id, other, j): a line and the earliest found within one edit; j the word deleted from the longer, -1: substituted."""
     keys = stash(variants(cand))
     cut, whole = keys.where("j >= 0"), keys.where("j < 0")
-    near = cut.groupBy("v1", "v2", "j").agg(F.min("first").alias("other"), F.count("*").alias("_n")).where("_n > 1")
-    replaced = cut.join(near, ["v1", "v2", "j"]).where("other < first").select(*CLASS, "other", F.lit(-1).alias("j"))
-    short = whole.select("v1", "v2", (F.col("n") + 1).alias("n"), F.col("first").alias("short"), *[F.col(k).alias(f"s_{k}") for k in CLASS])
-    met = cut.join(short, ["v1", "v2", "n"])
-    longer = met.where("short < first").select(*CLASS, F.col("short").alias("other"), "j")
-    shorter = (met.where("first < short").groupBy("s_k1", "s_k2").agg(F.min(F.struct("first", "j")).alias("m"))
-               .select(F.col("s_k1").alias("k1"), F.col("s_k2").alias("k2"), F.col("m.first").alias("other"), F.col("m.j").alias("j")))
-    return replaced.unionByName(longer).unionByName(shorter).groupBy(*CLASS, "j").agg(F.min("other").alias("other"))
+    near = stash(cut.groupBy("v", "j").agg(F.min("id").alias("other"), F.count("*").alias("_n")).where("_n > 1").drop("_n"))
+    replaced = (sieve(cut, F.col("v"), near.select("v")).join(near, ["v", "j"]).where("other < id")
+                .select("id", "other", F.lit(-1).alias("j")))
+    short = stash(whole.select("v", (F.col("n") + 1).alias("n"), F.col("id").alias("short")))
+    met = sieve(cut, F.col("v"), short.select("v")).join(short, ["v", "n"])
+    longer = met.where("short < id").select("id", F.col("short").alias("other"), "j")
+    shorter = (met.where("id < short").groupBy("short").agg(F.min(F.struct("id", "j")).alias("m"))
+               .select(F.col("short").alias("id"), F.col("m.id").alias("other"), F.col("m.j").alias("j")))
+    out = stash(replaced.unionByName(longer).unionByName(shorter).groupBy("id", "j").agg(F.min("other").alias("other")))
+    for done in (keys, near, short):
+        discard(done)
+    return out
 
 
 def verified(found: DataFrame, cand: DataFrame) -> DataFrame:
     """The classes (k1, k2) of which a link holds on the words."""
-    own = cand.select(*CLASS, F.col("w").alias("a"))
-    theirs = cand.select(F.col("first").alias("other"), F.col("w").alias("b"))
-    pair = found.join(own, CLASS).join(theirs, "other")
+    own = cand.select("id", *CLASS, F.col("w").alias("a"))
+    theirs = cand.select(F.col("id").alias("other"), F.col("w").alias("b"))
+    pair = found.join(own, "id").join(theirs, "other")
 
     def without(w: Column, j: Column) -> Column:
         return F.concat(F.slice(w, F.lit(1), j), F.slice(w, j + 2, F.greatest(F.size(w) - j - 1, F.lit(0))))
@@ -117,15 +130,21 @@ def verified(found: DataFrame, cand: DataFrame) -> DataFrame:
 
 
 def dropped(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """Rows (d, t, drop): for each document that loses lines, their numbers in order."""
+    """Rows (d, t, drop), a written table: for each document that loses lines, their numbers in order."""
     keyed = documents(docs)
-    rows = lines(keyed, min_words, near_words)
-    classes = stash(rows.groupBy(*CLASS).agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves")))
-    cand = stash(candidates(classes, keyed))
-    late = verified(links(cand), cand).withColumn("late", F.lit(True))
-    marked = classes.join(late, CLASS, "left").where("n > 1 OR late").select(*CLASS, "first", "late")
-    hit = rows.select(*PLACE, *CLASS).join(marked, CLASS).where(F.col("late") | (F.struct(*PLACE) != F.col("first")))
-    return hit.groupBy("d", "t").agg(F.sort_array(F.collect_set("i")).alias("drop"))
+    rows = stash(lines(keyed, min_words, near_words))
+    classes = stash(rows.groupBy(*CLASS).agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n")))
+    cand = candidates(rows, classes, keyed)
+    found = links(cand)
+    late = stash(verified(found, cand).withColumn("late", F.lit(True)))
+    marked = stash(classes.where("n > 1").join(late, CLASS, "left").unionByName(classes.where("n = 1").join(late, CLASS))
+                   .select(*CLASS, "first", "late"))
+    hit = (sieve(rows.select(*PLACE, *CLASS), F.col("k1"), marked.select("k1")).join(marked, CLASS)
+           .where(F.col("late") | (F.struct(*PLACE) != F.col("first"))))
+    out = stash(hit.groupBy("d", "t").agg(F.sort_array(F.collect_set("i")).alias("drop")))
+    for done in (rows, classes, cand, found, late, marked):
+        discard(done)
+    return out
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
@@ -134,13 +153,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = N
     Null texts stay null and empty ones empty; a text may become empty. Repeated rows lose the same lines. Empty table: no rows.
     """
     names = docs.columns
-    out = docs.select(F.struct(*[docs[c] for c in names]).alias("row"))
-    keyed = out.select("row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64("row.text").alias("t"))
-    drops = stash(dropped(docs.select("doc_id", "text"), min_words, near_words))
-    joined = keyed.join(drops, ["d", "t"], "left")
+    keyed = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("d"),
+                        F.xxhash64(docs["text"]).alias("t"))
+    drops = dropped(docs.select("doc_id", "text"), min_words, near_words)
+    key, member = F.xxhash64("d", "t"), drops.select(F.xxhash64("d", "t").alias("doc"))
+    touched = sieve(keyed, key, member).join(drops, ["d", "t"], "left")
     kept = F.array_join(F.filter(F.split("row.text", "\n"), lambda x, i: ~F.array_contains("drop", i)), "\n")
     text = F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(kept)
-    done = joined.select("row", text.alias("_text"))
+    done = touched.select("row", text.alias("_text")).unionByName(
+        sieve(keyed, key, member, out=True).select("row", F.col("row.text").alias("_text")))
     cols = {c: F.col(f"row.`{c}`") for c in names} | {"text": F.col("_text")}
     if "n_chars" in names:
         cols["n_chars"] = F.when(F.col("_text").isNull(), F.col("row.n_chars")).otherwise(F.length("_text").cast("long"))
@@ -151,7 +172,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: doc_id, its number of lines (null text: none), how many are dropped, and their numbers from 0."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     every = documents(docs).select("doc_id", "d", "t", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    found = every.join(stash(dropped(docs)), ["d", "t"], "left")
+    found = every.join(dropped(docs), ["d", "t"], "left")
     return found.select("doc_id", "n_lines", F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
                         F.coalesce(F.array_join("drop", ","), F.lit("")).alias("dropped"))
 
