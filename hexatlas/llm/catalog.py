@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, packing, sharding, simhash, toxicity
+from . import line_dedup, mixing, neighbours, packing, sharding, simhash, topk, toxicity
 
 QUERIES = {f.__name__: f for f in (
     line_dedup.op2_line_dedup,
     sharding.op3_feistel_shards,
     toxicity.op4_toxicity,
+    neighbours.op5_projected_neighbours,
     simhash.op6_simhash_groups,
     packing.op7_packed_sequences,
     mixing.op8_mixed_sources,
+    topk.op9_exact_top_products,
 )}
 
 CHECKS = {
     "op2_line_dedup": line_dedup.op2_sql(),
     "op3_feistel_shards": sharding.op3_sql(),
     "op8_mixed_sources": mixing.op8_sql(),
+    "op9_exact_top_products": topk.op9_sql(),
 }
