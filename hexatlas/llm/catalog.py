@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, neighbours, packing, sharding, simhash, topk, toxicity
+from . import licenses, line_dedup, mixing, neighbours, packing, quality, sharding, simhash, topk, toxicity
 
 QUERIES = {f.__name__: f for f in (
+    quality.op1_quality,
     line_dedup.op2_line_dedup,
     sharding.op3_feistel_shards,
     toxicity.op4_toxicity,
@@ -13,6 +14,7 @@ QUERIES = {f.__name__: f for f in (
     packing.op7_packed_sequences,
     mixing.op8_mixed_sources,
     topk.op9_exact_top_products,
+    licenses.op10_license_notices,
 )}
 
 CHECKS = {
