@@ -57,7 +57,7 @@ def candidates(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFra
     """
     halves = rows.where("halves IS NOT NULL").select("k1", F.explode("halves").alias("half"))
     shared = stash(halves.groupBy("half").agg(F.min("k1").alias("_a"), F.max("k1").alias("_b")).where("_a <> _b").select("half"))
-    chosen = sieve(halves, F.col("half"), shared).join(shared, "half", "left_semi").select("k1").distinct()
+    chosen = sieve(halves, F.col("half"), shared).join(shared, "half").select("k1").distinct()
     wanted = stash(classes.join(chosen, "k1", "left_semi").select(*CLASS, "first"))
     place = F.xxhash64("first.d", "first.t")
     by_doc = wanted.groupBy(F.col("first.d").alias("d"), F.col("first.t").alias("t")).agg(
