@@ -35,6 +35,21 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(conf).delete(path, True)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of docs as one, so that theirs can't clash with an operator's own."""
+    return F.struct(*[docs[quoted(c)] for c in docs.columns])
+
+
+def unpacked(df: DataFrame, row: str, docs: DataFrame, changed: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of docs out of whole_row, some of them changed."""
+    cols = {c: F.col(f"{row}.{quoted(c)}") for c in docs.columns} | (changed or {})
+    return df.select(*[cols[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
 SIEVE_BITS = 26
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, load, sieve, stash
+from .common import discard, load, sieve, stash, unpacked, whole_row
 
 MIN_WORDS, NEAR_WORDS = 5, 10
 CLASS = ["k1", "k2"]  # two hashes of a line's words
@@ -152,8 +152,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = N
 
     Null texts stay null and empty ones empty; a text may become empty. Repeated rows lose the same lines. Empty table: no rows.
     """
-    names = docs.columns
-    keyed = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("d"),
+    keyed = docs.select(whole_row(docs).alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("d"),
                         F.xxhash64(docs["text"]).alias("t"))
     drops = dropped(docs.select("doc_id", "text"), min_words, near_words)
     key, member = F.xxhash64("d", "t"), drops.select(F.xxhash64("d", "t").alias("doc"))
@@ -162,10 +161,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = N
     text = F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(kept)
     done = touched.select("row", text.alias("_text")).unionByName(
         sieve(keyed, key, member, out=True).select("row", F.col("row.text").alias("_text")))
-    cols = {c: F.col(f"row.`{c}`") for c in names} | {"text": F.col("_text")}
-    if "n_chars" in names:
-        cols["n_chars"] = F.when(F.col("_text").isNull(), F.col("row.n_chars")).otherwise(F.length("_text").cast("long"))
-    return done.select(*[cols[c].cast(docs.schema[c].dataType).alias(c) for c in names])
+    changed = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("_text").isNull(), F.col("row.n_chars")).otherwise(F.length("_text").cast("long"))
+    return unpacked(done, "row", docs, changed)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

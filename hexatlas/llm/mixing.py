@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, stash
+from .common import load, stash, unpacked, whole_row
 
 MARGINALS = ("source", "lang", "topic")
 POWER, KEEP, ROUNDS, SEED = 0.7, 0.9, 10, "mix-1"
@@ -100,10 +100,8 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, p
 
 def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP) -> DataFrame:
     """The rows of docs that stay; the columns of docs."""
-    names = docs.columns
-    row = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), *[docs[c] for c in ("doc_id", "text", "source", "lang")])
-    kept = mixed(row, targets, power, keep).where("kept")
-    return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+    row = docs.select(whole_row(docs).alias("_row"), *[docs[c] for c in ("doc_id", "text", "source", "lang")])
+    return unpacked(mixed(row, targets, power, keep).where("kept"), "_row", docs)
 
 
 def op8_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, load, stash
+from .common import components, load, stash, unpacked, whole_row
 
 BITS, WORDS, CELL, CHUNK = 3, 3, 4096, 65_536
 
@@ -203,8 +203,9 @@ def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame
     last = F.lit((1 << 63) - 1)
     chosen = stash(groups(docs, words, bits).groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", last).alias("_d"), F.col("t").alias("_t"))).alias("k"))
                    .select("k.*"))
-    keyed = docs.withColumns({"_d": F.coalesce(docs["doc_id"].cast("long"), last), "_t": F.xxhash64(docs["text"])})
-    return keyed.join(chosen, ["_d", "_t"], "left_semi").dropDuplicates(["_d", "_t"]).drop("_d", "_t")
+    keyed = docs.select(whole_row(docs).alias("row"), F.coalesce(docs["doc_id"].cast("long"), last).alias("_d"), F.xxhash64(docs["text"]).alias("_t"))
+    kept = keyed.join(chosen, ["_d", "_t"], "left_semi").groupBy("_d", "_t").agg(F.first("row").alias("row"))
+    return unpacked(kept, "row", docs)
 
 
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
