@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import load, stash
 
-CAPACITY, ROUNDS, RATE, END_ID, CACHE = 4096, 64, 0.6, 1, 600_000
+CAPACITY, ROUNDS, RATE, END_ID, CACHE = 4096, 64, 10.0, 1, 600_000
 LONG = 1 << 20  # bytes of text split into words at once
 SHARES = (1.0, 0.95, 0.9, 0.8, 0.7, 0.6)  # of the fractional solution, tried in rounding
 
@@ -210,10 +210,10 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
     covered, chosen = np.zeros(len(lengths)), []
     total = float((lengths * demand).sum()) / capacity
     for _ in range(rounds):
-        lag = -rate * covered / demand * rounds / 8
+        lag = -rate * covered / demand
         dual = np.exp(lag - lag.max())
-        # value per piece: its length, tilted by its dual weight; equal duals make the fullest sequence the best
-        config = best_configuration(lengths * (0.5 + 0.5 * dual / dual.mean()), lengths, np.minimum(left, capacity), capacity)
+        # a piece's price: its length by its dual weight; equal duals make the fullest sequence the best
+        config = best_configuration(lengths * dual, lengths, np.minimum(left, capacity), capacity)
         index, copies = np.array(list(config)), np.array(list(config.values()), dtype=float)
         step = min(total / rounds, float((demand[index] / copies).min()))
         covered[index] += copies * step
