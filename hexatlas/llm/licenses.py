@@ -113,6 +113,11 @@ class Scanner:
         first, last = best[0].b, best[-1].b + best[-1].size
         if last - first - matched > max(allowed, 1):
             return None
+        # words that stand where the template's first or last words are missing count as their replacements
+        for _ in range(best[0].a):
+            first -= first > 0 and words[first - 1] is not None
+        for _ in range(len(want) - best[-1].a - best[-1].size):
+            last += last < len(words) and words[last] is not None
         here = set(range(len(want))) - {k for m in best for k in range(m.a, m.a + m.size)}
         extra = [str(words[k]) for k in range(first, last) if not any(m.b <= k < m.b + m.size for m in best)]
         return first, last, " ".join([f"-{want[k]}" for k in sorted(here)] + [f"+{w}" for w in extra])

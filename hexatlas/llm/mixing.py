@@ -87,12 +87,12 @@ def calibrate(cells: DataFrame, keep: float = KEEP) -> DataFrame:
 
 
 def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP) -> DataFrame:
-    """docs with _source, _lang, _topic, _tokens, factor, prob and kept.
+    """doc_id, text, source and lang (and _row, if there) of docs with _source, _lang, _topic, _tokens, factor, prob and kept.
 
     Cells are pre-aggregated before any shuffle of rows; texts are not shuffled where Spark sees that the table of cells is small.
     Null or empty texts weigh nothing and share their cell's probability; an empty table stays empty; repeated rows stay or go together.
     """
-    told = described(docs)
+    told = described(docs.select("doc_id", "text", "source", "lang", *[c for c in docs.columns if c == "_row"]))
     cells = stash(told.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")))
     chosen = stash(calibrate(rake(cells, targets, power), keep).drop("tokens"))
     return told.join(chosen, ["_source", "_lang", "_topic"]).withColumn("kept", F.col("_u") < F.col("prob"))

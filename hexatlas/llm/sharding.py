@@ -42,7 +42,7 @@ def permute_once(x: int, a: int, b: int, seed: int) -> int:
 def walks(n: int, seed: int) -> int:
     """Steps after which every number under n has come back under n. Only the a*b - n (< sqrt(n) + 1) outside numbers walk."""
     a, b = halves(n)
-    outside, steps = list(range(n, a * b)), 1
+    outside, steps = list(range(n, a * b)) if n else [], 1
     while outside:
         outside = [y for y in (permute_once(x, a, b, seed) for x in outside) if y >= n]
         steps += 1

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import load, stash
 
-SAMPLE, FEATURES, LEAST_DOCS, RIDGE, STEPS, REJECT = 10_000, 1_500, 5, 1.0, 300, 0.5
+SAMPLE, FEATURES, LEAST_DOCS, LEAST_Z, RIDGE, STEPS, REJECT = 10_000, 1_500, 5, 2.5, 1.0, 300, 0.5
 WORD = re.compile(r"\w+")
 STEMS = range(4, 9)
 
@@ -126,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     odds = (F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1)))
     z = odds / F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     chosen = (found.where(F.col("bad") + F.col("good") >= LEAST_DOCS).withColumn("z", z)
-              .orderBy(F.abs("z").desc(), "feature").limit(most).collect())
+              .where(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "feature").limit(most).collect())
     names = sorted(r["feature"] for r in chosen)
     apart = {r["feature"] for r in chosen if r["z"] > 4 and r["bad"] > r["good"]}
     place = {f: i for i, f in enumerate(names)}
