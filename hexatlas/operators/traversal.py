@@ -49,19 +49,22 @@ def disk_expand(df: DataFrame, cell="cell", k=1, policy="exact", only_ring=False
     ``policy='null'`` drops origins whose disk holds a pentagon, as the unsafe
     functions do (left join back to see them as NULL).  ``k`` is a number or a
     column; NULL or negative gives no rows.  ``min_res`` is the coarsest resolution in
-    the table if known: with it, a fixed k that needs no rounds plans none.
+    the table if known: with it, a fixed k that needs no rounds plans none, and a
+    coarser cell for which k is too wide raises an error.
     """
     o = fresh("dk")
     literal = isinstance(k, int)
     ok = f"{bits.is_valid_cell(cell)} AND {k} >= 0"
     limit = pick([_widest(r) for r in range(MAX_RES + 1)], bits.resolution(cell))
-    narrow = _disk_by_angle(df.filter(f"{ok} AND {k} <= {limit}"), cell, k, o, policy, only_ring)
+    if policy == "null":
+        # whether a disk holds a pentagon is told by the distance to the nearest one, at any k
+        return _disk_by_angle(df.filter(ok), cell, k, o, policy, only_ring)
     if literal and k <= _widest(min_res):
-        return narrow
+        coarser = f"raise_error(concat('a cell is coarser than min_res = {min_res}: ', {cell}))"
+        held = f"CASE WHEN coalesce({ok}, false) THEN CASE WHEN {k} <= {limit} THEN true ELSE {coarser} END ELSE false END"
+        return _disk_by_angle(df.filter(held), cell, k, o, policy, only_ring)
+    narrow = _disk_by_angle(df.filter(f"{ok} AND {k} <= {limit}"), cell, k, o, policy, only_ring)
     wide_in = df.filter(f"{ok} AND {k} > {limit}")
-    if policy == "null":
-        # such a disk always holds a pentagon
-        return narrow
     return narrow.unionByName(_disk_by_rounds(wide_in, cell, k, only_ring))
 
 

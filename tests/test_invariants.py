@@ -1,4 +1,5 @@
 """Whole-grid properties and brute force."""
+import pytest
 from pyspark.sql import functions as F
 
 from hexatlas.operators import dimensions, hierarchy, indexing, topology, traversal
@@ -56,3 +57,18 @@ def test_range_filter_reaches_the_scan(spark, tmp_path):
     assert df.count() == 49
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(cell" in plan
+
+
+def test_wide_disks_without_pentagons_are_kept(spark):
+    """From a face centre the nearest pentagon is further than the bound for two pentagons in a disk; counts are 1 + 3k(k + 1)."""
+    cells = spark.createDataFrame([(int("829607fffffffff", 16),)], "cell long")
+    for k, n in ((11, 397), (12, 469), (13, 547)):
+        assert traversal.disk_expand(cells, k=k, policy="null").select("member").distinct().count() == n
+        assert traversal.disk_expand(cells, k=k, policy="null", only_ring=True).count() == 6 * k
+
+
+def test_min_res_never_loses_rows(spark):
+    cells = spark.createDataFrame([(0x8001fffffffffff,)], "cell long")
+    assert traversal.disk_expand(cells, k=2).count() == 18
+    with pytest.raises(Exception, match="coarser than min_res"):
+        traversal.disk_expand(cells, k=2, min_res=6).count()
