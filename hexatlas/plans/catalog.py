@@ -52,6 +52,21 @@ def keyed_cell(k, res, engine="spark"):
 PENT = "(4, 14, 24, 38, 49, 58, 63, 72, 83, 97, 107, 117)"
 
 
+def every_cell(k, res, engine="spark"):
+    """A valid cell for every key: under pentagons, which have no first digit 1, each 1 counts as 2."""
+    div = "DIV" if engine == "spark" else "//"
+    more = [f"CASE WHEN (({k}) {div} {7 ** (r - 1)}) % 7 = 1 THEN CAST({8 ** (15 - r)} AS BIGINT) ELSE 0 END" for r in range(1, res + 1)]
+    return f"({keyed_cell(k, res, engine)} + CASE WHEN ({k}) % 122 IN {PENT} THEN {' + '.join(more)} ELSE 0 END)"
+
+
+def every(spark, sf, res):
+    return table(spark, sf, "orders").selectExpr("o_orderkey AS k", f"{every_cell('o_orderkey', res)} AS cell")
+
+
+def every_sql(res):
+    return f"SELECT o_orderkey AS k, {every_cell('o_orderkey', res, 'duck')} AS cell FROM orders"
+
+
 def keyed(spark, sf, res, name="orders", key="o_orderkey"):
     """Hexagon-only keyed cells."""
     return table(spark, sf, name).filter(f"{key} % 122 NOT IN {PENT}").selectExpr(
@@ -161,9 +176,10 @@ def _(spark, sf):
 
 
 @query("great_circle_distances", "SELECT a.k, round(" + _arc("a", "b") + " * 6371.007180918475, 5) AS km FROM "
-       f"({points_sql()}) a JOIN ({points_sql('supplier', 's_suppkey')}) b ON a.k % 97 = b.k")
+       f"({points_sql()}) a JOIN ({points_sql('supplier', 's_suppkey')}) b ON a.k % (SELECT count(*) FROM supplier) = b.k")
 def _(spark, sf):
-    a = points(spark, sf).selectExpr("k", "lat", "lng", "k % 97 AS s")
+    n = table(spark, sf, "supplier").count()
+    a = points(spark, sf).selectExpr("k", "lat", "lng", f"k % {n} AS s")
     b = points(spark, sf, "supplier", "s_suppkey").selectExpr("k AS s", "lat AS lat1", "lng AS lng1")
     return indexing.great_circle_distances(a.join(b, "s"), "lat", "lng", "lat1", "lng1").selectExpr(
         "k", "round(distance, 5) AS km")
@@ -188,14 +204,14 @@ def _(spark, sf):
     return audit.audit_index(raw).select("k", "line", "cell", "resolution", "base_cell", "is_valid_cell", "is_pentagon")
 
 
-@query("index_digits", f"SELECT k, (cell >> 33) & 7 AS digit, k % 2 = 1 AS odd_key FROM ({keyed_sql(6)})")
+@query("index_digits", f"SELECT k, (cell >> 33) & 7 AS digit, k % 2 = 1 AS odd_key FROM ({every_sql(6)})")
 def _(spark, sf):
-    return audit.index_digits(keyed(spark, sf, 6), r="4").selectExpr("k", "digit", "k % 2 = 1 AS odd_key")
+    return audit.index_digits(every(spark, sf, 6), r="4").selectExpr("k", "digit", "k % 2 = 1 AS odd_key")
 
 
-@query("normalise_keys", f"SELECT k, CASE WHEN k % 5 = 0 THEN NULL ELSE cell END AS cell FROM ({keyed_sql(6)})")
+@query("normalise_keys", f"SELECT k, CASE WHEN k % 5 = 0 THEN NULL ELSE cell END AS cell FROM ({every_sql(6)})")
 def _(spark, sf):
-    text = keyed(spark, sf, 6).selectExpr("k", f"CASE WHEN k % 5 = 0 THEN 'zzz' ELSE {bits.to_hex('cell')} END AS key")
+    text = every(spark, sf, 6).selectExpr("k", f"CASE WHEN k % 5 = 0 THEN 'zzz' ELSE {bits.to_hex('cell')} END AS key")
     return audit.normalise_keys(text).select("k", "cell")
 
 
@@ -210,14 +226,14 @@ def _(spark, sf):
 
 # ---- hierarchy -----------------------------------------------------------------------------
 
-@query("cell_to_parent", f"SELECT k, {_parent_sql('cell', 6, 4)} AS parent FROM ({keyed_sql(6)})")
+@query("cell_to_parent", f"SELECT k, {_parent_sql('cell', 6, 4)} AS parent FROM ({every_sql(6)})")
 def _(spark, sf):
-    return hierarchy.with_parent(keyed(spark, sf, 6), res=4).select("k", "parent")
+    return hierarchy.with_parent(every(spark, sf, 6), res=4).select("k", "parent")
 
 
-@query("descendant_range_filter", f"SELECT count(*) AS n, sum(k) AS keys FROM ({keyed_sql(6)}) WHERE {_parent_sql('cell', 6, 0)} = {(1 << 59) + (20 << 45) + 8 ** 15 - 1}")
+@query("descendant_range_filter", f"SELECT count(*) AS n, sum(k) AS keys FROM ({every_sql(6)}) WHERE {_parent_sql('cell', 6, 0)} = {(1 << 59) + (20 << 45) + 8 ** 15 - 1}")
 def _(spark, sf):
-    cells = keyed(spark, sf, 6)
+    cells = every(spark, sf, 6)
     return cells.filter(hierarchy.descendant_filter("cell", (1 << 59) + (20 << 45) + 8 ** 15 - 1, 6)).agg(
         F.count(F.lit(1)).alias("n"), F.sum("k").alias("keys"))
 
@@ -234,9 +250,9 @@ def _(spark, sf):
     return hierarchy.children_counts(cells, res=5).select("k", "n_children")
 
 
-@query("center_children", f"SELECT k, CAST(cell + {2 << 52} - {8 ** 11 - 8 ** 9} AS BIGINT) AS child FROM ({keyed_sql(4)})")
+@query("center_children", f"SELECT k, CAST(cell + {2 << 52} - {8 ** 11 - 8 ** 9} AS BIGINT) AS child FROM ({every_sql(4)})")
 def _(spark, sf):
-    return hierarchy.center_children(keyed(spark, sf, 4), res=6).select("k", "child")
+    return hierarchy.center_children(every(spark, sf, 4), res=6).select("k", "child")
 
 
 @query("child_positions", f"SELECT k, {' + '.join(f'((k // {7 ** (r - 1)}) % 7) * {7 ** (6 - r)}' for r in range(3, 7))} AS position FROM ({keyed_sql(6)})")
@@ -244,6 +260,27 @@ def _(spark, sf):
     return hierarchy.child_positions(keyed(spark, sf, 6), res=2).select("k", "position")
 
 
+def _position_sql():
+    """Position of a res-6 cell below its base cell; under a pentagon the first digit above 0 passes over the missing 1."""
+    digit = {r: f"((cell >> {45 - 3 * r}) & 7)" for r in range(1, 7)}
+    plain = lambda first: " + ".join(["0", *(f"{digit[r]} * {7 ** (6 - r)}" for r in range(first, 7))])
+    cases = " ".join(f"WHEN {digit[r]} > 0 THEN {1 + 5 * (7 ** (6 - r) - 1) // 6} + ({digit[r]} - 2) * {7 ** (6 - r)} + {plain(r + 1)}"
+                     for r in range(1, 7))
+    return f"CASE WHEN (cell >> 45) & 127 NOT IN {PENT} THEN {plain(1)} {cases} ELSE 0 END"
+
+
+@query("positions_in_bases", f"SELECT k, CAST({_position_sql()} AS BIGINT) AS position FROM ({every_sql(6)})")
+def _(spark, sf):
+    return hierarchy.child_positions(every(spark, sf, 6), res=0).select("k", "position")
+
+
+@query("cells_from_bases", f"SELECT k, cell AS child FROM ({every_sql(6)})")
+def _(spark, sf):
+    """Positions, pentagons' too, back to cells."""
+    rows = hierarchy.child_positions(every(spark, sf, 6), res=0).selectExpr("k", f"{keyed_cell('k', 0)} AS parent", "position")
+    return hierarchy.cells_at_positions(rows, res=6, out="child").select("k", "child")
+
+
 @query("cells_at_positions", f"SELECT k, CAST(cell + {2 << 52} - {8 ** 13 - 8 ** 11} + ((k % 49) // 7) * {8 ** 12} + (k % 7) * {8 ** 11} AS BIGINT) AS child FROM ({keyed_sql(2)})")
 def _(spark, sf):
     rows = keyed(spark, sf, 2).selectExpr("k", "cell AS parent", "k % 49 AS position")

@@ -37,7 +37,7 @@ def read_wkt(df: DataFrame, text="wkt", out="rings", on_error="raise") -> DataFr
 
 def _uint(at, b):
     return (f"CAST(conv(concat(hex(substring({b}, {at} + 3, 1)), hex(substring({b}, {at} + 2, 1)), "
-            f"hex(substring({b}, {at} + 1, 1)), hex(substring({b}, {at}, 1))), 16, 10) AS INT)")
+            f"hex(substring({b}, {at} + 1, 1)), hex(substring({b}, {at}, 1))), 16, 10) AS BIGINT)")
 
 
 def _double(at, b):
@@ -53,21 +53,27 @@ def _double(at, b):
 def read_wkb(df: DataFrame, binary="wkb", out="rings", on_error="raise") -> DataFrame:
     """Little-endian polygon binary to rings; anything but a polygon raises (or NULL)."""
     o = fresh("wb")
-    ring = (f"named_struct('at', s.at + 4 + 16 * {_uint('s.at', binary)}, 'starts', "
-            f"concat(s.starts, array(named_struct('a', s.at + 4, 'n', {_uint('s.at', binary)}))))")
+    count = _uint("s.at", binary)
+    # the ring's count and all its points lie within the binary; compared as BIGINT, so that a corrupt count can't overflow
+    fits = f"coalesce(s.at + 3 <= {o}len AND CAST(s.at AS BIGINT) + 3 + 16 * {count} <= {o}len, false)"
+    ring = (f"CASE WHEN s.bad OR NOT {fits} THEN named_struct('at', s.at, 'starts', s.starts, 'bad', true) "
+            f"ELSE named_struct('at', CAST(s.at + 4 + 16 * {count} AS INT), 'starts', "
+            f"concat(s.starts, array(named_struct('a', s.at + 4, 'n', CAST({count} AS INT)))), 'bad', false) END")
+    none = "CAST(array() AS array<struct<a:int,n:int>>)"
     steps = [
         {f"{o}len": f"length({binary})", f"{o}kind": f"CASE WHEN length({binary}) >= 5 THEN {_uint(2, binary)} END",
          f"{o}order": f"hex(substring({binary}, 1, 1))"},
-        {f"{o}ok": f"coalesce({o}order = '01' AND {o}kind IN (0, 3), false)"},
-        {f"{o}n": f"CASE WHEN {o}ok AND {o}kind = 3 AND {o}len >= 9 THEN {_uint(6, binary)} ELSE 0 END"},
-        {f"{o}starts": f"CASE WHEN {o}n > 0 THEN aggregate(sequence(1, {o}n), named_struct('at', 10, 'starts', "
-                       f"CAST(array() AS array<struct<a:int,n:int>>)), (s, i) -> {ring}, s -> s.starts) "
-                       f"ELSE CAST(array() AS array<struct<a:int,n:int>>) END"},
+        {f"{o}n": f"CASE WHEN {o}kind = 3 AND {o}len >= 9 THEN {_uint(6, binary)} ELSE 0 END"},
+        # each announced ring takes four bytes at least
+        {f"{o}head": f"coalesce({o}order = '01' AND ({o}kind = 0 OR {o}kind = 3 AND {o}len >= 9 AND 9 + 4 * {o}n <= {o}len), false)"},
+        {f"{o}walk": f"aggregate(CASE WHEN {o}head AND {o}n > 0 THEN sequence(1, CAST({o}n AS INT)) ELSE CAST(array() AS array<int>) END, "
+                     f"named_struct('at', CASE WHEN {o}head THEN 10 ELSE 1 END, 'starts', {none}, 'bad', false), (s, i) -> {ring})"},
+        {f"{o}ok": f"{o}head AND NOT {o}walk.bad", f"{o}starts": f"{o}walk.starts", f"{o}at": f"{o}walk.at"},
         {f"{o}rings": f"transform({o}starts, r -> CASE WHEN r.n = 0 THEN CAST(array() AS array<struct<x:double,y:double>>) "
                       f"ELSE transform(sequence(0, r.n - 1), i -> named_struct('x', {_double('r.a + 16 * i', binary)}, "
                       f"'y', {_double('r.a + 16 * i + 8', binary)})) END)"},
     ]
-    bad = "raise_error('Invalid polygon binary')" if on_error == "raise" else f"CAST(NULL AS {RINGS})"
+    bad = f"raise_error(concat('Invalid polygon binary at byte ', {o}at))" if on_error == "raise" else f"CAST(NULL AS {RINGS})"
     return run(df, steps, {out: f"CASE WHEN {binary} IS NULL THEN NULL WHEN {o}ok THEN {o}rings ELSE {bad} END"})
 
 
