@@ -59,22 +59,17 @@ def every_cell(k, res, engine="spark"):
     return f"({keyed_cell(k, res, engine)} + CASE WHEN ({k}) % 122 IN {PENT} THEN {' + '.join(more)} ELSE 0 END)"
 
 
-def every(spark, sf, res):
-    return table(spark, sf, "orders").selectExpr("o_orderkey AS k", f"{every_cell('o_orderkey', res)} AS cell")
+def every(spark, sf, res, name="orders", key="o_orderkey"):
+    return table(spark, sf, name).selectExpr(f"{key} AS k", f"{every_cell(key, res)} AS cell")
 
 
-def every_sql(res):
-    return f"SELECT o_orderkey AS k, {every_cell('o_orderkey', res, 'duck')} AS cell FROM orders"
+def every_sql(res, name="orders", key="o_orderkey"):
+    return f"SELECT {key} AS k, {every_cell(key, res, 'duck')} AS cell FROM {name}"
 
 
-def keyed(spark, sf, res, name="orders", key="o_orderkey"):
-    """Hexagon-only keyed cells."""
-    return table(spark, sf, name).filter(f"{key} % 122 NOT IN {PENT}").selectExpr(
-        f"{key} AS k", f"{keyed_cell(key, res)} AS cell")
-
-
-def keyed_sql(res, name="orders", key="o_orderkey"):
-    return f"SELECT {key} AS k, {keyed_cell(key, res, 'duck')} AS cell FROM {name} WHERE {key} % 122 NOT IN {PENT}"
+def _pent_sql(c, res):
+    """Whether a cell of one resolution is a pentagon."""
+    return f"((({c}) >> 45) & 127 IN {PENT} AND (({c}) >> {45 - 3 * res}) & {8 ** res - 1} = 0)"
 
 
 def _parent_sql(c, old, new):
@@ -238,10 +233,10 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum("k").alias("keys"))
 
 
-@query("drilldown_cells", f"SELECT k, CAST(cell + {1 << 53} - {8 ** 11 - 8 ** 9} + a * {8 ** 10} + b * {8 ** 9} AS BIGINT) - {0} AS child "
-       f"FROM ({keyed_sql(4)}), range(7) ra(a), range(7) rb(b)")
+@query("drilldown_cells", f"SELECT k, CAST(cell + {1 << 53} - {8 ** 13 - 8 ** 11} + a * {8 ** 12} + b * {8 ** 11} AS BIGINT) AS child "
+       f"FROM ({every_sql(2)}), range(7) ra(a), range(7) rb(b) WHERE NOT ({_pent_sql('cell', 2)} AND (a = 1 OR (a = 0 AND b = 1)))")
 def _(spark, sf):
-    return hierarchy.drilldown_cells(keyed(spark, sf, 4), res=6).select("k", "child")
+    return hierarchy.drilldown_cells(every(spark, sf, 2), res=4).select("k", "child")
 
 
 @query("children_counts", f"SELECT o_orderkey AS k, CASE WHEN o_orderkey % 122 IN {PENT} THEN 16807 // 6 * 5 + 1 ELSE 16807 END AS n_children FROM orders")
@@ -255,21 +250,21 @@ def _(spark, sf):
     return hierarchy.center_children(every(spark, sf, 4), res=6).select("k", "child")
 
 
-@query("child_positions", f"SELECT k, {' + '.join(f'((k // {7 ** (r - 1)}) % 7) * {7 ** (6 - r)}' for r in range(3, 7))} AS position FROM ({keyed_sql(6)})")
-def _(spark, sf):
-    return hierarchy.child_positions(keyed(spark, sf, 6), res=2).select("k", "position")
-
-
-def _position_sql():
-    """Position of a res-6 cell below its base cell; under a pentagon the first digit above 0 passes over the missing 1."""
+def _position_sql(res):
+    """Position of a res-6 cell below its ancestor; under a pentagon the first digit above 0 passes over the missing 1."""
     digit = {r: f"((cell >> {45 - 3 * r}) & 7)" for r in range(1, 7)}
     plain = lambda first: " + ".join(["0", *(f"{digit[r]} * {7 ** (6 - r)}" for r in range(first, 7))])
     cases = " ".join(f"WHEN {digit[r]} > 0 THEN {1 + 5 * (7 ** (6 - r) - 1) // 6} + ({digit[r]} - 2) * {7 ** (6 - r)} + {plain(r + 1)}"
-                     for r in range(1, 7))
-    return f"CASE WHEN (cell >> 45) & 127 NOT IN {PENT} THEN {plain(1)} {cases} ELSE 0 END"
+                     for r in range(res + 1, 7))
+    return f"CAST(CASE WHEN NOT {_pent_sql('cell', res)} THEN {plain(res + 1)} {cases} ELSE 0 END AS BIGINT)"
 
 
-@query("positions_in_bases", f"SELECT k, CAST({_position_sql()} AS BIGINT) AS position FROM ({every_sql(6)})")
+@query("child_positions", f"SELECT k, {_position_sql(2)} AS position FROM ({every_sql(6)})")
+def _(spark, sf):
+    return hierarchy.child_positions(every(spark, sf, 6), res=2).select("k", "position")
+
+
+@query("positions_in_bases", f"SELECT k, {_position_sql(0)} AS position FROM ({every_sql(6)})")
 def _(spark, sf):
     return hierarchy.child_positions(every(spark, sf, 6), res=0).select("k", "position")
 
@@ -281,30 +276,37 @@ def _(spark, sf):
     return hierarchy.cells_at_positions(rows, res=6, out="child").select("k", "child")
 
 
-@query("cells_at_positions", f"SELECT k, CAST(cell + {2 << 52} - {8 ** 13 - 8 ** 11} + ((k % 49) // 7) * {8 ** 12} + (k % 7) * {8 ** 11} AS BIGINT) AS child FROM ({keyed_sql(2)})")
+# below a pentagon come six cells of its centre child, then five times seven, then nothing
+_AT = (f"SELECT k, cell, CASE WHEN NOT pent OR p = 0 THEN p WHEN p < 6 THEN p + 1 WHEN p < 41 THEN p + 8 END AS p FROM "
+       f"(SELECT k, cell, (k // 49) % 49 AS p, {_pent_sql('cell', 2)} AS pent FROM ({every_sql(2)}))")
+
+
+@query("cells_at_positions", f"SELECT k, CAST(cell + {2 << 52} - {8 ** 13 - 8 ** 11} + (p // 7) * {8 ** 12} + (p % 7) * {8 ** 11} AS BIGINT) AS child FROM ({_AT})")
 def _(spark, sf):
-    rows = keyed(spark, sf, 2).selectExpr("k", "cell AS parent", "k % 49 AS position")
+    rows = every(spark, sf, 2).selectExpr("k", "cell AS parent", "(k DIV 49) % 49 AS position")
     return hierarchy.cells_at_positions(rows, res=4, out="child").select("k", "child")
 
 
-# sets per customer: every child of a cell for even keys, all but one for odd keys
-_SET = (f"SELECT k, CAST(cell + {1 << 52} - {8 ** 11 - 8 ** 10} + d * {8 ** 10} AS BIGINT) AS cell, cell AS top FROM "
-        f"({keyed_sql(4, 'customer', 'c_custkey')}), range(7) r(d) WHERE k % 2 = 0 OR d < 6")
+# sets per customer: all descendants two steps below a cell, pentagons too; for odd keys all but the last one
+_SET = (f"SELECT k, top, a, CAST(top + {1 << 52} - {8 ** 14 - 8 ** 13} + a * {8 ** 13} AS BIGINT) AS mid, "
+        f"CAST(top + {2 << 52} - {8 ** 14 - 8 ** 12} + a * {8 ** 13} + b * {8 ** 12} AS BIGINT) AS cell FROM "
+        f"(SELECT k, cell AS top FROM ({every_sql(1, 'customer', 'c_custkey')})), range(7) ra(a), range(7) rb(b) "
+        f"WHERE (k % 2 = 0 OR a * 7 + b < 48) AND NOT ({_pent_sql('top', 1)} AND (a = 1 OR (a = 0 AND b = 1)))")
 
 
 def _sets(spark, sf):
-    wide = keyed(spark, sf, 4, "customer", "c_custkey").selectExpr("k", "cell AS top")
-    return hierarchy.drilldown_cells(wide, "top", 5, "cell").filter("k % 2 = 0 OR (shiftright(cell, 30) & 7) < 6").select("k", "cell")
+    wide = every(spark, sf, 1, "customer", "c_custkey").selectExpr("k", "cell AS top")
+    return hierarchy.drilldown_cells(wide, "top", 3, "cell").filter("k % 2 = 0 OR (shiftright(cell, 36) & 63) < 54").select("k", "cell")
 
 
-@query("compact_cells", f"SELECT DISTINCT k, CASE WHEN k % 2 = 0 THEN top ELSE cell END AS cell FROM ({_SET})")
+@query("compact_cells", f"SELECT DISTINCT k, CASE WHEN k % 2 = 0 THEN top WHEN a < 6 THEN mid ELSE cell END AS cell FROM ({_SET})")
 def _(spark, sf):
     return hierarchy.compact_table(_sets(spark, sf), by=["k"])
 
 
 @query("uncompact_cells", f"SELECT k, cell FROM ({_SET})")
 def _(spark, sf):
-    return hierarchy.uncompact_table(hierarchy.compact_table(_sets(spark, sf), by=["k"]), res=5, by=["k"])
+    return hierarchy.uncompact_table(hierarchy.compact_table(_sets(spark, sf), by=["k"]), res=3, by=["k"])
 
 
 # ---- neighbourhoods ------------------------------------------------------------------------
@@ -373,7 +375,7 @@ def _(spark, sf):
 
 
 def _local_sql(res):
-    q = f"SELECT k, cell, 0 AS a0, 0 AS b0 FROM ({keyed_sql(res)})"
+    q = f"SELECT k, cell, 0 AS a0, 0 AS b0 FROM ({every_sql(res)})"
     for r in range(1, res + 1):
         p, t, g = f"a{r - 1}", f"b{r - 1}", f"((cell >> {3 * (15 - r)}) & 7)"
         down = (f"2 * {p} + {t}", f"3 * {t} - {p}") if r % 2 else (f"3 * {p} - {t}", f"{p} + 2 * {t}")
@@ -387,12 +389,12 @@ def _with_origin(cells, res):
 
 @query("cell_to_local_ij", f"SELECT k, i, j FROM ({_local_sql(5)})")
 def _(spark, sf):
-    return traversal.local_coordinates(_with_origin(keyed(spark, sf, 5), 5)).select("k", "i", "j")
+    return traversal.local_coordinates(_with_origin(every(spark, sf, 5), 5)).select("k", "i", "j")
 
 
 @query("local_ij_to_cell", f"SELECT k, cell FROM ({_local_sql(5)})")
 def _(spark, sf):
-    ij = traversal.local_coordinates(_with_origin(keyed(spark, sf, 5), 5)).drop("cell")
+    ij = traversal.local_coordinates(_with_origin(every(spark, sf, 5), 5)).drop("cell")
     return traversal.local_cells(ij).select("k", "cell")
 
 
@@ -487,11 +489,12 @@ def _(spark, sf):
     return topology.cell_vertices(indexed(spark, sf, 6), res=6).selectExpr("k", "n", f"{bits.as_cell('vertex')} AS owner")
 
 
-@query("audit_vertices", f"SELECT k, true AS is_vertex FROM ({indexed_sql(6)})")
+@query("audit_vertices", f"SELECT o.k, o.n, o.owner = c.cell AS is_vertex FROM ({_OWNER}) o JOIN ({indexed_sql(6)}) c ON c.k = o.k")
 def _(spark, sf):
-    """Every vertex index that names a vertex is valid under its owner."""
-    v = topology.nth_vertices(indexed(spark, sf, 6), n="0", res=6)
-    return topology.audit_vertices(v, res=6).select("k", "is_vertex")
+    """Each corner numbered under the cell itself names a vertex only where that cell is the corner's owner."""
+    v = indexed(spark, sf, 6).selectExpr("k", "explode(sequence(0, 5)) AS n", "cell").selectExpr(
+        "k", "n", f"(cell & {bits.MODE_CLEAR}L) | {bits.VERTEX_MODE}L | shiftleft(CAST(n AS BIGINT), 56) AS vertex")
+    return topology.audit_vertices(v, res=6).select("k", "n", "is_vertex")
 
 
 # ---- the grid against the tables -------------------------------------------------------------
@@ -515,9 +518,9 @@ def keyed_all(spark, sf, res):
 
 
 @query("grid_coverage", "SELECT res, count(DISTINCT cell) AS used, CAST(2 + 120 * pow(7, res) AS BIGINT) AS num_cells FROM (" + " UNION ALL ".join(
-    f"SELECT {r} AS res, {keyed_cell('o_orderkey', r, 'duck')} AS cell FROM orders WHERE o_orderkey % 122 NOT IN {PENT}" for r in (1, 2, 3)) + ") GROUP BY res")
+    f"SELECT {r} AS res, {every_cell('o_orderkey', r, 'duck')} AS cell FROM orders" for r in (1, 2, 3)) + ") GROUP BY res")
 def _(spark, sf):
-    cells = keyed(spark, sf, 3)
+    cells = every(spark, sf, 3)
     levels = hierarchy.rollup_levels(cells, [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("n")], levels=(3, 2, 1))
     return (levels.groupBy("res").agg(F.count(F.lit(1)).alias("used"))
             .selectExpr("res", "used", f"{bits.cells_at('res')} AS num_cells"))
