@@ -16,9 +16,10 @@ def rollup_cells(df: DataFrame, aggregates, cell="cell", res=0, by=()) -> DataFr
     """Aggregate facts by cell into facts by ancestor.
 
     The key is a bit mask, so it is evaluated inside the partial aggregation: what is
-    shuffled is one row per task and ancestor, however hot one ancestor is.
+    shuffled is one row per task and ancestor, however hot one ancestor is.  Keys that
+    are not cells, and cells coarser than ``res``, are aggregated under a NULL cell.
     """
-    keyed = df.withColumn("cell", F.expr(bits.parent(cell, res)))
+    keyed = df.withColumn("cell", F.expr(f"CASE WHEN {bits.is_valid_cell(cell)} THEN {bits.parent(cell, res)} END"))
     return keyed.groupBy(*by, "cell").agg(*aggregates)
 
 
@@ -164,10 +165,12 @@ def on_arrays(df: DataFrame, column, job, out) -> DataFrame:
     """Run a set job on an array column: the elements of each row are one set.
 
     ``job(table)`` gets (_row, cell) and returns rows of (_row, cell).  The result is
-    NULL where the job drops a non-empty set, and empty for an empty array.
+    NULL where the job drops a non-empty set, and empty for an empty array.  Sets are
+    known by a digest of their elements, which a retried or reordered task computes
+    alike; equal arrays are worked on once.
     """
-    tagged = df.withColumn("_row", F.monotonically_increasing_id())
-    sets = tagged.selectExpr("_row", f"explode({column}) AS cell")
+    tagged = df.withColumn("_row", F.expr(f"sha2(CAST({column} AS STRING), 256)"))
+    sets = tagged.selectExpr("_row", f"{column} AS _set_of").dropDuplicates(["_row"]).selectExpr("_row", "explode(_set_of) AS cell")
     done = job(sets).groupBy("_row").agg(F.sort_array(F.collect_list("cell")).alias("_cells"))
     return (tagged.join(done, "_row", "left")
             .withColumn(out, F.expr(f"CASE WHEN size({column}) = 0 THEN CAST(array() AS array<bigint>) ELSE _cells END"))

@@ -508,15 +508,11 @@ def _(spark, sf):
 
 @query("base_cell_orders", f"SELECT {_hex('cell')} AS hex, n FROM (SELECT {keyed_cell('o_orderkey', 0, 'duck')} AS cell, count(*) AS n FROM orders GROUP BY 1)")
 def _(spark, sf):
-    facts = hierarchy.rollup_cells(keyed_all(spark, sf, 3), [F.count(F.lit(1)).alias("n")], res=0)
+    facts = hierarchy.rollup_cells(every(spark, sf, 3), [F.count(F.lit(1)).alias("n")], res=0)
     full = F.broadcast(dimensions.base_cells(spark)).join(facts, "cell", "left").na.fill({"n": 0}).filter("n > 0")
     return full.selectExpr(f"{bits.to_hex('cell')} AS hex", "n")
 
 
-def keyed_all(spark, sf, res):
-    return table(spark, sf, "orders").selectExpr(f"{keyed_cell('o_orderkey', res)} AS cell")
-
-
 @query("grid_coverage", "SELECT res, count(DISTINCT cell) AS used, CAST(2 + 120 * pow(7, res) AS BIGINT) AS num_cells FROM (" + " UNION ALL ".join(
     f"SELECT {r} AS res, {every_cell('o_orderkey', r, 'duck')} AS cell FROM orders" for r in (1, 2, 3)) + ") GROUP BY res")
 def _(spark, sf):

@@ -72,3 +72,19 @@ def test_min_res_never_loses_rows(spark):
     assert traversal.disk_expand(cells, k=2).count() == 18
     with pytest.raises(Exception, match="coarser than min_res"):
         traversal.disk_expand(cells, k=2, min_res=6).count()
+
+
+def test_rollup_keeps_keys_that_are_no_cells_apart(spark):
+    good, junk, coarse = 0x85283473fffffff, 12345, 0x8029fffffffffff
+    df = spark.createDataFrame([(good,), (good,), (junk,), (coarse,), (None,)], "cell long")
+    got = hierarchy.rollup_cells(df, [F.count(F.lit(1)).alias("n")], res=3).collect()
+    assert {r.cell: r.n for r in got} == {0x832834fffffffff: 2, None: 3}
+
+
+def test_array_form_by_content(spark):
+    top = 0x85283473fffffff
+    kids = [r.child for r in hierarchy.drilldown_cells(spark.createDataFrame([(top,)], "cell long"), res=6).collect()]
+    df = spark.createDataFrame([(1, kids), (2, kids), (3, kids[:2]), (4, []), (5, [kids[0], kids[0]]), (6, None)], "k int, cells array<bigint>")
+    job = lambda t: hierarchy.compact_table(t, by=["_row"])
+    got = {r.k: r.out for r in hierarchy.on_arrays(df, "cells", job, "out").collect()}
+    assert got == {1: [top], 2: [top], 3: sorted(kids[:2]), 4: [], 5: None, 6: None}
