@@ -198,16 +198,21 @@ def groups(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     return marked.join(named, "fp").select("doc_id", "t", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """One row of docs for each group: that of the smallest (doc_id, hash of the text), null doc_ids last; the columns of docs."""
+def keep_smallest(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """One row of docs for each root of grouped (doc_id, t, root): that of the smallest (doc_id, t), null doc_ids last; the columns of docs."""
     last = F.lit((1 << 63) - 1)
-    chosen = stash(groups(docs, words, bits).groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", last).alias("_d"), F.col("t").alias("_t"))).alias("k"))
+    chosen = stash(grouped.groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", last).alias("_d"), F.col("t").alias("_t"))).alias("k"))
                    .select("k.*"))
     keyed = docs.select(whole_row(docs).alias("row"), F.coalesce(docs["doc_id"].cast("long"), last).alias("_d"), F.xxhash64(docs["text"]).alias("_t"))
     kept = keyed.join(chosen, ["_d", "_t"], "left_semi").groupBy("_d", "_t").agg(F.first("row").alias("row"))
     return unpacked(kept, "row", docs)
 
 
+def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """One row of docs for each group: that of the smallest (doc_id, hash of the text), null doc_ids last; the columns of docs."""
+    return keep_smallest(docs, groups(docs, words, bits))
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = groups(load(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
