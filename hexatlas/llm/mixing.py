@@ -6,10 +6,14 @@ scaled so that the stated share of all tokens is kept, at most 1. Whether a docu
 
 Targets are tempered shares: a value with share s of the tokens gets s^POWER, normalised, so that a source with a third of all
 rows gives way to small ones. Other targets can be given as {column: {value: share}}.
+
+Capped at 1, calibrated probabilities need not meet the targets any more. `bounded` fits the probabilities themselves, and keeps as
+much as the targets allow, at most the stated share; the pipeline and all given targets use it.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,7 @@ from .common import load, stash, unpacked, whole_row
 
 MARGINALS = ("source", "lang", "topic")
 POWER, KEEP, ROUNDS, SEED = 0.7, 0.9, 10, "mix-1"
+FITS, HALVINGS, MISS = 1000, 20, 1e-3  # of bounded: rounds of a fit, steps to the largest share, what a kept share may miss of all kept tokens
 #: documents has no topics: the first pattern that a text matches names its topic, "prose" where none does.
 TOPICS = (("table", " \\| "), ("legal", "[Ll]icense|[Cc]opyright"), ("contact", "@[A-Za-z]"))
 
@@ -86,22 +91,80 @@ def calibrate(cells: DataFrame, keep: float = KEEP) -> DataFrame:
     return cells.withColumn("prob", F.least(F.lit(1.0), F.col("factor") * F.lit(scale)))
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP) -> DataFrame:
+def bounded(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP) -> DataFrame:
+    """cells with prob and factor, prob over the share of all tokens kept: the kept tokens of every source, language and topic meet their targets.
+
+    prob = min(1, a * b * c), one multiplier for each source, language and topic; the share kept is the largest at most `keep` for which
+    such probabilities are found. Cells are fitted on the driver, a row per source, language and topic. Targets that name values
+    without tokens, or can't be met together at any share, raise a ValueError.
+    """
+    names = [f"_{c}" for c in MARGINALS]
+    rows = cells.select(*names, "tokens").collect()
+    tokens = np.array([r["tokens"] for r in rows])
+    total = tokens.sum()
+    spots, goals, highest = [], [], keep
+    for c in MARGINALS if total else ():
+        values, at = np.unique([r[f"_{c}"] for r in rows], return_inverse=True)
+        have = np.bincount(at, tokens)
+        want = have ** power
+        if given := (targets or {}).get(c):
+            held = dict(zip(values.tolist(), have))
+            if empty := sorted(v for v, share in given.items() if share > 0 and not held.get(v)):
+                raise ValueError(f"no tokens of {c} {', '.join(empty)}, for which there is a target")
+            want = np.array([float(given.get(v, 0.0)) for v in values.tolist()])
+        goal = want / want.sum()
+        highest = min(highest, (have[goal > 0] / goal[goal > 0]).min() / total)
+        spots.append(at)
+        goals.append(goal)
+
+    def fit(share: float) -> np.ndarray | None:
+        weight = np.full(len(rows), share)
+        for _ in range(FITS):
+            for at, goal in zip(spots, goals):
+                now = np.bincount(at, tokens * np.minimum(weight, 1), len(goal))
+                weight = np.minimum(weight * np.divide(goal * share * total, now, out=np.ones(len(goal)), where=now > 0)[at], 1e9)
+            prob = np.minimum(weight, 1)
+            if all(np.abs(np.bincount(at, tokens * prob, len(goal)) / total - goal * share).max() <= MISS * share for at, goal in zip(spots, goals)):
+                return prob
+        return None
+
+    best, low, high = (fit(highest) if total else np.ones(len(rows))), 0.0, highest
+    share = highest if total else 1.0
+    if best is None:
+        for _ in range(HALVINGS):  # what is feasible stays so at any smaller share
+            middle = (low + high) / 2
+            prob = fit(middle)
+            if prob is None:
+                high = middle
+            else:
+                best, low, share = prob, middle, middle
+    if best is None:
+        raise ValueError("the targets can't be met together")
+    made = [(*(r[n] for n in names), r["tokens"], float(p), float(p / share)) for r, p in zip(rows, best)]
+    return cells.sparkSession.createDataFrame(made, ", ".join(f"{n} string" for n in names) + ", tokens double, prob double, factor double")
+
+
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP,
+          exact: bool | None = None) -> DataFrame:
     """doc_id, text, source and lang (and _row, if there) of docs with _source, _lang, _topic, _tokens, factor, prob and kept.
 
+    exact: probabilities that meet the targets (`bounded`), at a share of at most `keep`; by default where targets are given. Otherwise
+    `keep` of all tokens stays and the kept tokens may miss the targets.
     Cells are pre-aggregated before any shuffle of rows; texts are not shuffled where Spark sees that the table of cells is small.
     Null or empty texts weigh nothing and share their cell's probability; an empty table stays empty; repeated rows stay or go together.
     """
     told = described(docs.select("doc_id", "text", "source", "lang", *[c for c in docs.columns if c == "_row"]))
     cells = stash(told.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")))
-    chosen = stash(calibrate(rake(cells, targets, power), keep).drop("tokens"))
+    exact = bool(targets) if exact is None else exact
+    chosen = stash((bounded(cells, targets, power, keep) if exact else calibrate(rake(cells, targets, power), keep)).drop("tokens"))
     return told.join(chosen, ["_source", "_lang", "_topic"]).withColumn("kept", F.col("_u") < F.col("prob"))
 
 
-def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP) -> DataFrame:
+def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP,
+           exact: bool | None = None) -> DataFrame:
     """The rows of docs that stay; the columns of docs."""
     row = docs.select(whole_row(docs).alias("_row"), *[docs[c] for c in ("doc_id", "text", "source", "lang")])
-    return unpacked(mixed(row, targets, power, keep).where("kept"), "_row", docs)
+    return unpacked(mixed(row, targets, power, keep, exact).where("kept"), "_row", docs)
 
 
 def op8_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
