@@ -8,6 +8,9 @@ Every candidate line emits its variants with one word deleted, as hashed keys. L
 differ by a substitution; a variant that is another line's full key is a deletion. Only the earliest line of each key is kept, so a
 key shared by a third of all lines costs a row each, never their pairs. Candidates are lines that share their first or last half of
 words with another line, which two lines within one edit always do. Links are verified on the words themselves.
+
+That is op2, as its SQL has it. The pipeline drops exact repeats of lines of any words (min_words 1) and splits at all white space and
+around each character of scripts without spaces (everywhere); only blank lines stay.
 """
 
 from __future__ import annotations
@@ -23,7 +26,12 @@ PLACE = ["d", "t", "i"]  # doc_id (null: the largest long), hash of the text, nu
 LAST = (1 << 63) - 1
 
 
-def _words(line: Column | str) -> Column:
+UNSPACED = "".join(f"\\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+
+
+def _words(line: Column | str, everywhere: bool = False) -> Column:
+    if everywhere:
+        return F.filter(F.split(F.regexp_replace(line, f"([{UNSPACED}])", " $1 "), "(?U)\\s+"), lambda w: w != "")
     return F.filter(F.split(line, " "), lambda w: w != "")
 
 
@@ -41,16 +49,16 @@ def _half_keys(words: Column, n: Column) -> Column:
     return F.array_distinct(F.array(*keys(longer), *keys(shorter)))
 
 
-def lines(keyed: DataFrame, min_words: int, near_words: int) -> DataFrame:
+def lines(keyed: DataFrame, min_words: int, near_words: int, everywhere: bool = False) -> DataFrame:
     """Rows (d, t, i, k1, k2, halves): the lines long enough to be dropped; halves is null below near_words."""
-    rows = keyed.select("d", "t", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("w", _words("line"))
+    rows = keyed.select("d", "t", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("w", _words("line", everywhere))
     n = F.size("w")
     return (rows.where(n >= min_words)
             .select(*PLACE, F.xxhash64("w").alias("k1"), F.xxhash64(F.lit(7), "w").alias("k2"),
                     F.when(n >= near_words, _half_keys(F.col("w"), n)).alias("halves")))
 
 
-def candidates(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
+def candidates(rows: DataFrame, classes: DataFrame, keyed: DataFrame, everywhere: bool = False) -> DataFrame:
     """Rows (id, k1, k2, w): the first occurrence, with its words, of each class that shares a half key with another class.
 
     Ids follow the order of places: a smaller id is an earlier line.
@@ -67,7 +75,7 @@ def candidates(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFra
     found = (one.select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("c"))
              .select("c.*", F.element_at("all", F.col("c.first.i") + 1).alias("line")))
     ordered = found.repartitionByRange("first.d", "first.t", "first.i").sortWithinPartitions("first.d", "first.t", "first.i")
-    cand = stash(ordered.select(F.monotonically_increasing_id().alias("id"), *CLASS, _words("line").alias("w")))
+    cand = stash(ordered.select(F.monotonically_increasing_id().alias("id"), *CLASS, _words("line", everywhere).alias("w")))
     for done in (shared, wanted):
         discard(done)
     return cand
@@ -129,12 +137,12 @@ def verified(found: DataFrame, cand: DataFrame) -> DataFrame:
     return pair.where(edited).select(*CLASS).distinct()
 
 
-def dropped(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
+def dropped(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, everywhere: bool = False) -> DataFrame:
     """Rows (d, t, drop), a written table: for each document that loses lines, their numbers in order."""
     keyed = documents(docs)
-    rows = stash(lines(keyed, min_words, near_words))
+    rows = stash(lines(keyed, min_words, near_words, everywhere))
     classes = stash(rows.groupBy(*CLASS).agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n")))
-    cand = candidates(rows, classes, keyed)
+    cand = candidates(rows, classes, keyed, everywhere)
     found = links(cand)
     late = stash(verified(found, cand).withColumn("late", F.lit(True)))
     marked = stash(classes.where("n > 1").join(late, CLASS, "left").unionByName(classes.where("n = 1").join(late, CLASS))
@@ -147,14 +155,14 @@ def dropped(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_
     return out
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, everywhere: bool = False) -> DataFrame:
     """docs with the dropped lines cut out of text (and n_chars, if there, counted anew); all rows, the columns of docs.
 
     Null texts stay null and empty ones empty; a text may become empty. Repeated rows lose the same lines. Empty table: no rows.
     """
     keyed = docs.select(whole_row(docs).alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("d"),
                         F.xxhash64(docs["text"]).alias("t"))
-    drops = dropped(docs.select("doc_id", "text"), min_words, near_words)
+    drops = dropped(docs.select("doc_id", "text"), min_words, near_words, everywhere)
     key, member = F.xxhash64("d", "t"), drops.select(F.xxhash64("d", "t").alias("doc"))
     touched = sieve(keyed, key, member).join(drops, ["d", "t"], "left")
     kept = F.array_join(F.filter(F.split("row.text", "\n"), lambda x, i: ~F.array_contains("drop", i)), "\n")
