@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import licenses, line_dedup, mixing, neighbours, packing, quality, sharding, simhash, topk, toxicity
+from . import (licenses, line_dedup, mixing, neighbours, ngram_join, packing, phrases, quality, sharding, simhash, topk, toxicity,
+               tries)
 
 QUERIES = {f.__name__: f for f in (
     quality.op1_quality,
@@ -15,6 +16,9 @@ QUERIES = {f.__name__: f for f in (
     mixing.op8_mixed_sources,
     topk.op9_exact_top_products,
     licenses.op10_license_notices,
+    tries.op11_prefix_trie,
+    phrases.op12_phrases,
+    ngram_join.op13_ngram_components,
 )}
 
 CHECKS = {
@@ -22,4 +26,7 @@ CHECKS = {
     "op3_feistel_shards": sharding.op3_sql(),
     "op8_mixed_sources": mixing.op8_sql(),
     "op9_exact_top_products": topk.op9_sql(),
+    "op11_prefix_trie": tries.op11_sql(),
+    "op12_phrases": phrases.op12_sql(),
+    "op13_ngram_components": ngram_join.op13_sql(),
 }
