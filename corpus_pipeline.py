@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexatlas.llm import line_dedup, mixing, packing, shingles, toxicity
+from hexatlas.llm import line_dedup, mixing, packing, simhash, toxicity
 from hexatlas.llm.common import load, shared_dir
 
 
@@ -22,7 +22,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shingles.keep_one(docs)
+    return simhash.keep_one(docs, words=3, bits=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
