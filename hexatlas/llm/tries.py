@@ -133,7 +133,8 @@ class DoubleArray:
     """BASE and CHECK over turn ids from 1; the root is state 0. BASE may be negative, so that a lone child fits any free slot."""
 
     def __init__(self):
-        self.base, self.check, self.low = np.zeros(64, np.int64), np.full(64, -1, np.int64), 1
+        self.base, self.check = np.zeros(64, np.int64), np.full(64, -1, np.int64)
+        self.low, self.top = 1, 1  # the lowest free slot, and the end of those taken
         self.check[0] = 0
 
     def reach(self, size: int) -> None:
@@ -156,10 +157,11 @@ class DoubleArray:
             if (self.check[at + steps] < 0).all():
                 break
         else:
-            at = len(self.check)
+            at = self.top
             self.reach(at + int(steps[-1]) + 1)
         self.base[parent] = at - turns[0]
         self.check[at + steps] = parent
+        self.top = max(self.top, int(at + steps[-1]) + 1)
 
     def add(self, parents: np.ndarray, turns: np.ndarray) -> None:
         """A level's edges, sorted by parent and then turn."""
@@ -172,6 +174,7 @@ class DoubleArray:
             at = self.free(len(lone))
             self.base[parents[lone]] = at - turns[lone]
             self.check[at] = parents[lone]
+            self.top = max(self.top, int(at[-1]) + 1)
         taken = np.flatnonzero(self.check[self.low:] < 0)
         self.low = self.low + int(taken[0]) if len(taken) else len(self.check)
 
