@@ -12,7 +12,9 @@ so many survive that the bitmap fills up it stops helping, and the exact count d
 from __future__ import annotations
 
 import hashlib
+import pickle
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, load, stash
+from .common import load, stash
 from .grams import bundles, grams, mixed, words
 
 LEAST, LONGEST, TOP, COVERED = 10, 3, 2000, 50
@@ -154,24 +156,26 @@ def surviving(local: DataFrame, least: int, split: int) -> np.ndarray:
     return out
 
 
-def exact(docs: DataFrame, kept: np.ndarray, longest: int) -> DataFrame:
-    """Rows (lang, phrase, f): counts of n-grams whose bit is set; with a null phrase, of all words."""
+def exact(docs: DataFrame, kept: np.ndarray, least: int, longest: int, split: int) -> DataFrame:
+    """Rows (lang, phrase, f): exact counts of at least `least` of n-grams whose bit is set; with a null phrase, of all words.
+
+    A task sends its counts of a hash partition as one value; the partition sums them by language and words.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(kept)
 
-    def frame(counts: dict) -> pd.DataFrame:
-        rows = [(lang, None if p is None else p.decode("utf-8", "surrogatepass"), n) for (lang, p), n in counts.items()]
-        return pd.DataFrame(rows, columns=["lang", "phrase", "f"])
+    def rows(counts: dict[int, dict[bytes, int]]) -> pd.DataFrame:
+        return pd.DataFrame([(p, pickle.dumps(c)) for p, c in counts.items()], columns=["p", "counts"])
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bitmap, counts = sent.value, {}
+        bitmap, counts, size = sent.value, defaultdict(dict), 0
         for b in batches:
             texts, langs = b["text"].tolist(), b["lang"].tolist()
             for s in bundles(texts):
+                prefix = [x.encode("utf-8", "surrogatepass") + b"\n" for x in langs[s]]  # no word holds a line feed
                 for n, found, begin, (g, g2) in occurrences(texts[s], langs[s], longest, 2):
-                    of = langs[s]
                     if n == 1:
                         for i, c in zip(*(x.tolist() for x in np.unique(found.text, return_counts=True))):
-                            counts[of[i], None] = counts.get((of[i], None), 0) + c
+                            counts[0][prefix[i]] = counts[0].get(prefix[i], 0) + c
                     at = (g >> np.uint64(64 - BITS)).astype(np.int64)
                     some = np.flatnonzero((bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1)
                     if not len(some):
@@ -181,18 +185,40 @@ def exact(docs: DataFrame, kept: np.ndarray, longest: int) -> DataFrame:
                     w = begin[order[first]]
                     lo, hi = found.start[w], found.end[w + n - 1]
                     plain = hi - lo == sum(found.end[w + i] - found.start[w + i] for i in range(n)) + n - 1
+                    part = at[order[first]] >> (BITS - split)
                     times = np.diff(np.r_[first, len(order)])
-                    for x, y, one, i, c in zip(*(v.tolist() for v in (lo, hi, plain, found.text[w], times))):
-                        p = found.data[x:y].replace(b"\t", b" ")
-                        key = of[i], p if one else b" ".join(p.split())
-                        counts[key] = counts.get(key, 0) + c
-                if len(counts) > FLUSH // 16:
-                    yield frame(counts)
-                    counts = {}
+                    for p, x, y, one, i, c in zip(*(v.tolist() for v in (part, lo, hi, plain, found.text[w], times))):
+                        phrase = found.data[x:y].replace(b"\t", b" ")
+                        key, own = prefix[i] + (phrase if one else b" ".join(phrase.split())), counts[p]
+                        if key in own:
+                            own[key] += c
+                        else:
+                            own[key] = c
+                            size += 1
+                if size > FLUSH // 16:
+                    yield rows(counts)
+                    counts, size = defaultdict(dict), 0
         if counts:
-            yield frame(counts)
+            yield rows(counts)
+
+    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, counts = None, {}
+
+        def frame() -> pd.DataFrame:
+            named = ((*k.decode("utf-8", "surrogatepass").rsplit("\n", 1), n) for k, n in counts.items())
+            return pd.DataFrame([(lang, p or None, n) for lang, p, n in named if n >= least or not p], columns=["lang", "phrase", "f"])
+
+        for b in batches:
+            for p, data in b.itertuples(index=False, name=None):
+                if p != part:
+                    yield frame()
+                    part, counts = p, {}
+                for k, n in pickle.loads(data).items():
+                    counts[k] = counts.get(k, 0) + n
+        yield frame()
 
-    return docs.mapInPandas(each, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    dealt = docs.mapInPandas(each, "p int, counts binary").repartition(1 << split, "p").sortWithinPartitions("p")
+    return dealt.mapInPandas(total, "lang string, phrase string, f long")
 
 
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
@@ -205,7 +231,7 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> Dat
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     split = min(max(size // MASS, 1).bit_length(), BITS - 9)
     kept = surviving(local_counts(docs, longest, split), least, split)
-    return stash(exact(docs, kept, longest).where(F.col("phrase").isNull() | (F.col("f") >= least)))
+    return stash(exact(docs, kept, least, longest, split))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: int = COVERED) -> DataFrame:
