@@ -6,7 +6,7 @@ its own number of fragments; a set sends one key per fragment that it has someth
 in, so any two linked sets share a key whatever their shingles. Sets are small against their fragments: about eight shingles make a key,
 and a passage that many documents share brings together only those of which a whole fragment lies in it.
 
-Sets that meet are compared with one of them, the leader, in a few rounds with other leaders; what is then linked is one component and
+Sets that meet are compared with one of them, the leader (rounds with other leaders may follow); what is then linked is one component and
 needs no more comparing. What remains between components is compared in pairs. Before that, a 256-bit parity sketch, which differs in no
 more bits than the sets in shingles, leaves out pairs that can't be alike. Links are verified: the sets that met, cut into fragments of
 the order, are intersected fragment by fragment, and the partial overlaps are summed per pair.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import components, discard, load, sieve, stash
 from .grams import MULTIPLIERS, bundles, grams, mixed, words
 
-WORDS, ROUNDS, FRAGMENT_BITS = 3, 4, 3
+WORDS, ROUNDS, FRAGMENT_BITS = 3, 1, 3
 GAPS = b" \t\n\x0b\x0c\r"
 PARITY = ["p0", "p1", "p2", "p3"]
 LAST = (1 << 63) - 1
