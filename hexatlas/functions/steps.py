@@ -6,8 +6,9 @@ list of *steps*, each a ``{column: SQL expression}`` dict that may read the
 columns of earlier steps.  Every step becomes one ``Project``; they all run
 inside the same generated-code stage, with no shuffle and no Python.
 
-The same list of steps can be compiled into projections over a DataFrame (``run``) or,
-if short, into one expression with the steps bound by lambdas (``as_lambda``).
+The same list of steps can be compiled into projections over a DataFrame (``run``) or into
+one expression with the steps bound by lambdas (``as_lambda``); a job run on ``Inline``
+in place of a table becomes such an expression.
 """
 import re
 from itertools import count
@@ -79,6 +80,8 @@ def project(df: DataFrame, steps) -> DataFrame:
     methods over 8000 bytes, and running each projection on its own instead nests
     hundreds of iterators.
     """
+    if isinstance(df, Inline):
+        return df.plus([n for step in steps for n in step], list(steps))
     spent, last = 0, None
     for step in steps:
         if spent and spent + weight(step) > METHOD_BUDGET:
@@ -96,6 +99,8 @@ def run(df: DataFrame, steps, outputs, drop=(), first=False) -> DataFrame:
     Long step lists start a generated-code stage of their own, unless ``first`` says
     that what comes before is only a scan.
     """
+    if isinstance(df, Inline):
+        return df.plus(outputs, [*steps, outputs])
     kept = [f"`{c}`" for c in df.columns if c not in outputs and c not in drop]
     if not steps:
         return df.selectExpr(*kept, *[f"{e} AS `{n}`" for n, e in outputs.items()])
@@ -112,6 +117,8 @@ def run(df: DataFrame, steps, outputs, drop=(), first=False) -> DataFrame:
 def keep_if(df: DataFrame, condition) -> DataFrame:
     """Filter on step columns without letting the optimizer move the condition below
     the steps (see ``run``)."""
+    if isinstance(df, Inline):
+        return df.plus([], condition)
     flag = fresh("keep")
     return df.selectExpr("*", f"inline(array(named_struct('{flag}', {condition})))").filter(flag).drop(flag)
 
@@ -119,19 +126,94 @@ def keep_if(df: DataFrame, condition) -> DataFrame:
 _word = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
+def _mentions(expr, names):
+    return {w for w in _word.findall(expr) if w in names}
+
+
+def _levels(steps, wanted):
+    """The steps that ``wanted`` needs, as few levels as their reading order allows."""
+    exprs = {n: e for step in steps for n, e in step.items()}
+    needed, todo = set(), _mentions(wanted, exprs)
+    while todo:
+        n = todo.pop()
+        needed.add(n)
+        todo |= _mentions(exprs[n], exprs) - needed
+    level, out = {}, []
+    for n, e in exprs.items():
+        if n in needed:
+            level[n] = 1 + max((level[m] for m in _mentions(e, exprs)), default=-1)
+            while len(out) <= level[n]:
+                out.append({})
+            out[level[n]][n] = e
+    return out
+
+
 def as_lambda(steps, result):
-    """One expression with the steps bound by nested lambdas (for use inside
-    higher-order functions, where projections are not available)."""
+    """One expression with the steps bound by nested lambdas, for use where projections
+    are not available: in SQL functions and inside higher-order functions.
+
+    A value is bound as the one element of an array. ``array_max`` takes the result out:
+    the analyzer asks ``get`` and the like twice for their type, doubling at each level.
+    """
     expr = result
-    for n, step in reversed(list(enumerate(steps))):
-        v = f"_s{n}"
-        names = set(step)
-        expr = _word.sub(lambda m: f"{v}.{m.group(0)}" if m.group(0) in names else m.group(0), expr)
-        fields = ", ".join(f"'{k}', {e}" for k, e in step.items())
-        expr = f"get(transform(array(named_struct({fields})), {v} -> {expr}), 0)"
+    for step in reversed(_levels(steps, result)):
+        v = fresh("v")
+        name = {k: f"{v}{i}" for i, k in enumerate(step)}  # new ones: a later part may reuse a name
+        expr = _word.sub(lambda m: f"{v}.{name[m.group(0)]}" if m.group(0) in name else m.group(0), expr)
+        fields = ", ".join(f"'{name[k]}', {e}" for k, e in step.items())
+        expr = f"array_max(transform(array(named_struct({fields})), {v} -> {expr}))"
     return expr
 
 
+class Inline:
+    """The parameters of one call in place of a table: a job of steps runs on it, and
+    gives an expression instead of rows.  Parts are ``steps``, or (array, name) where
+    the job makes a row of each element, or a condition that rows must meet."""
+
+    def __init__(self, *columns, parts=()):
+        self.columns, self.parts = list(columns), list(parts)
+
+    def plus(self, columns, *parts):
+        return Inline(*self.columns, *[c for c in columns if c not in self.columns], parts=[*self.parts, *parts])
+
+    def drop(self, *names):
+        return Inline(*[c for c in self.columns if c not in names], parts=self.parts)
+
+    def value(self, result):
+        """The result as one value; for jobs that keep one row a row."""
+        return as_lambda([step for part in self.parts for step in part], result)
+
+    def values(self, result):
+        """The results of all rows, as an array."""
+        expr, steps = f"array({result})", []
+        for part in reversed(self.parts):
+            if isinstance(part, list):
+                steps = part + steps
+                continue
+            expr, steps = as_lambda(steps, expr), []
+            if isinstance(part, tuple):
+                expr = f"flatten(transform({part[0]}, {part[1]} -> {expr}))"
+            else:
+                expr = f"CASE WHEN {part} THEN {expr} ELSE array() END"
+        return as_lambda(steps, expr)
+
+
+def spread(df, array, name, keep=("*",)):
+    """A row per element of an array."""
+    if isinstance(df, Inline):
+        return df.plus([name], (array, name))
+    return df.selectExpr(*keep, f"explode({array}) AS {name}")
+
+
+def fence(df, kept, fields):
+    """The columns ``kept`` and new ones (name -> expression), through a generator, so that
+    the optimizer doesn't move their steps (see ``run``)."""
+    if isinstance(df, Inline):
+        return df.plus(fields, [{n: e for n, e in fields.items() if n != e}])
+    named = ", ".join(f"'{n}', {e}" for n, e in fields.items())
+    return df.selectExpr(*[f"`{c}`" for c in kept], f"inline(array(named_struct({named})))")
+
+
 def scoped(steps, *results):
     """Rename the step columns so that two computations can share a table."""
     mine = {n for s in steps for n in s}

@@ -17,6 +17,9 @@ def base_cells(spark: SparkSession) -> DataFrame:
     return spark.range(BASE_COUNT).selectExpr(f"{bits.res0_cell('id')} AS cell")
 
 
+SPHERE = 4 * math.pi  # its area on a radius of 1
+
+
 def pentagon_cells(spark: SparkSession, res=None) -> DataFrame:
     """The 12 pentagons of one resolution, or of all: res, cell."""
     wanted = range(MAX_RES + 1) if res is None else [res]
@@ -40,7 +43,7 @@ def resolution_stats(spark: SparkSession) -> DataFrame:
     """Per resolution: number of cells, average hexagon area (what the sphere leaves
     beside the twelve pentagons) and average edge length."""
     pents = (cell_areas(pentagon_cells(spark), unit="rads^2").groupBy("res").agg(F.sum("area").alias("_p")))
-    km2 = f"({number(4 * math.pi)} - _p) / (num_cells - 12) * {number(AREA_UNITS['km^2'])}"
+    km2 = f"({number(SPHERE)} - _p) / (num_cells - 12) * {number(AREA_UNITS['km^2'])}"
     km = pick(EDGE_LENGTH_AVG_KM, "res")
     return pents.selectExpr("res", f"{bits.cells_at('res')} AS num_cells", "_p").selectExpr(
         "res", "num_cells", f"{km2} AS area_avg_km2", f"{km2} * 1e6D AS area_avg_m2",

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame
 
 from ..functions import bits, frames, shapes
-from ..functions.steps import fresh, run
+from ..functions.steps import fresh, run, spread
 from ._common import tuned
 
 
@@ -22,10 +22,10 @@ def adjacency_edges(df: DataFrame, cell="cell", res=None) -> DataFrame:
     """One row per directed edge leaving each cell: edge, direction, destination."""
     o = fresh("dir")
     pent = bits.is_pentagon(cell)
-    wide = df.selectExpr("*", f"explode(CASE WHEN {pent} THEN array(2, 3, 4, 5, 6) "
-                              f"WHEN {bits.is_valid_cell(cell)} THEN array(1, 2, 3, 4, 5, 6) END) AS direction")
+    wide = spread(df, f"CASE WHEN {pent} THEN array(2, 3, 4, 5, 6) "
+                      f"WHEN {bits.is_valid_cell(cell)} THEN array(1, 2, 3, 4, 5, 6) END", "direction")
     wide = neighbors(wide, cell, "direction", "destination", res)
-    return wide.selectExpr("*", f"{edge_id(cell, 'direction')} AS edge")
+    return run(wide, [], {"edge": edge_id(cell, "direction")})
 
 
 def edge_ends(df: DataFrame, edge="edge", origin="origin", destination="destination", res=None) -> DataFrame:
@@ -66,8 +66,8 @@ def reverse_edges(df: DataFrame, edge="edge", out="reverse", res=None) -> DataFr
 
 def cell_vertices(df: DataFrame, cell="cell", res=None) -> DataFrame:
     """One row per vertex of each cell: n, vertex."""
-    wide = df.selectExpr("*", f"explode(CASE WHEN {bits.is_pentagon(cell)} THEN sequence(0, 4) "
-                              f"WHEN {bits.is_valid_cell(cell)} THEN sequence(0, 5) END) AS n")
+    wide = spread(df, f"CASE WHEN {bits.is_pentagon(cell)} THEN sequence(0, 4) "
+                      f"WHEN {bits.is_valid_cell(cell)} THEN sequence(0, 5) END", "n")
     return nth_vertices(wide, cell, "n", "vertex", res)
 
 

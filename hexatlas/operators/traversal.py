@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits, frames, shapes, tables
 from ..functions.constants import MAX_RES
-from ..functions.steps import fresh, keep_if, number, pick, project, run, whole
+from ..functions.steps import fence, fresh, keep_if, number, pick, project, run, spread, whole
 from ._common import tuned
 
 # A disk reaching less than this far (in units of the resolution-0 step) can hold one
@@ -76,10 +76,9 @@ def _disk_by_angle(df, cell, k, o, policy, only_ring):
     if policy == "null":
         df = keep_if(df, f"NOT {o}hit")
     rings = f"array({o}kk)" if only_ring else f"sequence(0, {o}kk)"
-    df = df.selectExpr(*[f"`{c}`" for c in kept], f"inline(array(named_struct("
-                       + ", ".join(f"'{n}', {n}" for n in need) + ")))")
-    df = df.selectExpr("*", f"explode({rings}) AS {o}ring")
-    df = df.selectExpr("*", f"explode(sequence(0, greatest(6 * {o}ring - 1, 0))) AS {o}i")
+    df = fence(df, kept, {n: n for n in need})
+    df = spread(df, rings, f"{o}ring")
+    df = spread(df, f"sequence(0, greatest(6 * {o}ring - 1, 0))", f"{o}i")
     unit = [frames.SCALES[r] * tables.turn(n) for r in range(MAX_RES + 1) for n in range(6)]
     re, im = [z.real for z in unit], [z.imag for z in unit]
     inv = [1 / z for z in frames.SCALES]
@@ -126,9 +125,7 @@ def _disk_by_angle(df, cell, k, o, policy, only_ring):
     ]
     more, (f, x, y) = frames.cross_many(f"{o}sf", f"{o}ax", f"{o}ay", f"{o}bx", f"{o}by", o + "c", 3)
     steps = start + more + frames.cell_at(f, x, y, f"{o}res", o + "z")
-    df = project(df, steps)
-    return df.selectExpr(*[f"`{c}`" for c in kept],
-                         f"inline(array(named_struct('ring', {o}steps, 'member', {o}zcell)))")
+    return fence(project(df, steps), kept, {"ring": f"{o}steps", "member": f"{o}zcell"})
 
 
 def _disk_by_rounds(df, cell, k, only_ring):
@@ -221,9 +218,7 @@ def path_expand(df: DataFrame, a="a", b="b") -> DataFrame:
                   f"{o}lead": bits.leading_digit(bits.used_digits(f"{o}c"))})
     need = [f"{o}{n}" for n in ("oa", "ob", "da", "db", "n", "res", "base", "lead")]
     df = keep_if(project(tuned(df), steps), f"{o}ok")
-    df = df.selectExpr(*[f"`{c}`" for c in kept], "inline(array(named_struct("
-                       + ", ".join(f"'{n}', {n}" for n in need) + ")))")
-    df = df.selectExpr("*", f"explode(sequence(0L, {o}n)) AS {o}s")
+    df = spread(fence(df, kept, {n: n for n in need}), f"sequence(0L, {o}n)", f"{o}s")
 
     def nearest(x):  # half away from zero
         return f"(CASE WHEN {x} < 0D THEN ceil({x} - 0.5D) ELSE floor({x} + 0.5D) END)"
@@ -241,7 +236,5 @@ def path_expand(df: DataFrame, a="a", b="b") -> DataFrame:
     ]
     walk[-1] = {f"{o}ga": f"coalesce({o}pa, 0L)", f"{o}gb": f"coalesce({o}pb, 0L)"}
     more, result = shapes.local_cell(f"{o}base", f"{o}lead", f"{o}ga", f"{o}gb", f"{o}res", o + "z")
-    df = project(df, walk + more)
-    df = df.selectExpr(*[f"`{c}`" for c in kept],
-                       f"inline(array(named_struct('step', CAST({o}s AS INT), 'steps', CAST({o}n AS INT), 'member', {result})))")
-    return df
+    return fence(project(df, walk + more), kept,
+                 {"step": f"CAST({o}s AS INT)", "steps": f"CAST({o}n AS INT)", "member": result})
