@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..functions.constants import MAX_RES
-from ..functions.steps import fresh, project, run, scoped
+from ..functions.steps import fresh, run, scoped
 
 
 def with_parent(df: DataFrame, cell="cell", res=0, out="parent") -> DataFrame:
@@ -52,29 +52,45 @@ def descendant_filter(cell, parent, res):
     return f"{cell} BETWEEN {base}L AND {base | fill}L"
 
 
+BLOCK_DEPTH = 7  # levels below a work item: at most 7^7 rows of one task
+
+
 def drilldown_cells(df: DataFrame, cell="cell", res=None, out="child") -> DataFrame:
     """One row per descendant at ``res`` (number or column).
 
     Numbers in base 7 are the digits of the children, so the expansion is one narrow
-    generator.  High and low digits are generated apart, to keep any one array small
-    and the per-row arithmetic short.  A pentagon's numbers that lead with the missing
-    digit are skipped.  Cells finer than ``res`` give no rows.
+    generator.  Cells with more than 7^7 descendants are first expanded to their
+    descendants seven levels above ``res``, as work items that are dealt over all tasks:
+    one base cell drilled down to a fine resolution is no task of its own.  A pentagon's
+    numbers that lead with the missing digit are skipped.  Cells finer than ``res`` give
+    no rows.
     """
+    depth = f"({res}) - {bits.resolution(cell)}"
+    ok = f"{bits.is_valid_cell(cell)} AND {res} BETWEEN {bits.resolution(cell)} AND {MAX_RES}"
+    near = _descendants(df.filter(f"{ok} AND {depth} <= {BLOCK_DEPTH}"), cell, res, out)
+    if isinstance(res, int) and res <= BLOCK_DEPTH:
+        return near
     o = fresh("dd")
+    kept = [c for c in df.columns if c != out]
+    items = _descendants(df.filter(f"{ok} AND {depth} > {BLOCK_DEPTH}"), cell, f"(({res}) - {BLOCK_DEPTH})", f"{o}item")
+    # a number of partitions of its own: items are few bytes, and would be coalesced
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = items.repartition(tasks, F.expr(cell), F.col(f"{o}item"))
+    far = _descendants(dealt, f"{o}item", res, f"{o}child").select(*[F.col(f"`{c}`") for c in kept], F.col(f"{o}child").alias(out))
+    return near.unionByName(far)
+
+
+def _descendants(df, cell, res, out):
+    """Descendants of valid cells not finer than ``res``."""
+    o = fresh("ds")
     kept = [f"`{c}`" for c in df.columns if c != out]
-    ok = f"{bits.is_valid_cell(cell)} AND {res} BETWEEN {bits.resolution(cell)} AND {MAX_RES}"
-    block = 7 ** 7
-    wide = df.filter(ok).selectExpr("*", f"{bits._power7(f'({res}) - {bits.resolution(cell)}')} AS {o}n",
-                                    f"{bits.is_pentagon(cell)} AS {o}pent", f"{bits.center_child(cell, res)} AS {o}first")
-    wide = wide.selectExpr("*", f"explode(sequence(0L, CAST(({o}n - 1) DIV {block}L AS BIGINT))) AS {o}k")
-    wide = wide.selectExpr("*", f"shiftleft({bits._octal_of_base7(f'{o}k', 8)}, 21) AS {o}high")
-    wide = wide.selectExpr("*", f"explode(sequence(0, CAST(least({o}n, {block}L) - 1 AS INT))) AS {o}i")
-    steps = [{f"{o}q": f"{o}high | CAST({bits._octal_of_base7(f'{o}i', 7)} AS BIGINT)"}]
-    keep = f"CASE WHEN {o}pent THEN {bits.leading_digit(f'{o}q')} <> 1 ELSE true END"
-    full = project(wide, steps).selectExpr(
-        *kept, f"inline(array(named_struct('{out}', {o}first | shiftleft({o}q, 3 * ({MAX_RES} - ({res}))), "
-               f"'{o}keep', {keep})))")
-    return full.filter(f"{o}keep").drop(f"{o}keep")
+    wide = df.selectExpr("*", f"CAST({bits._power7(f'({res}) - {bits.resolution(cell)}')} AS INT) AS {o}n",
+                         f"{bits.is_pentagon(cell)} AS {o}pent", f"{bits.center_child(cell, res)} AS {o}first")
+    numbers = f"sequence(0, {o}n - 1)"
+    octal = bits._octal_of_base7(f"{o}i", 8)
+    present = f"filter({numbers}, {o}i -> {bits.leading_digit(f'CAST({octal} AS BIGINT)')} <> 1)"
+    wide = wide.selectExpr("*", f"explode(CASE WHEN {o}pent THEN {present} ELSE {numbers} END) AS {o}i")
+    return wide.selectExpr(*kept, f"{o}first | shiftleft(CAST({octal} AS BIGINT), 3 * ({MAX_RES} - ({res}))) AS `{out}`")
 
 
 def center_children(df: DataFrame, cell="cell", res=None, out="child") -> DataFrame:
@@ -147,9 +163,17 @@ def compact_table(df: DataFrame, cell="cell", by=()) -> DataFrame:
     return single.unionByName(largest).select(*by, "cell")
 
 
+SALTS = 64
+
+
 def _without(df, bad, keys):
-    bad = bad.select(*[F.col(k).alias(f"_b{n}") for n, k in enumerate(keys)])
-    return df.join(bad, F.expr(" AND ".join(f"{k} <=> _b{n}" for n, k in enumerate(keys))), "left_anti")
+    """The rows of sets not named in ``bad`` (one row a set).  Each bad set stands in every
+    salt and a row looks in its own, so a set of half of all rows meets in many tasks."""
+    salted = df.withColumn("_salt", F.expr(f"pmod(xxhash64({', '.join(f'`{c}`' for c in df.columns)}), {SALTS})"))
+    bad = bad.select(*[F.col(k).alias(f"_b{n}") for n, k in enumerate(keys)],
+                     F.expr(f"explode(sequence(0L, {SALTS - 1}L))").alias("_bsalt"))
+    same = [f"{k} <=> _b{n}" for n, k in enumerate(keys)] + ["_salt = _bsalt"]
+    return salted.join(bad, F.expr(" AND ".join(same)), "left_anti").drop("_salt")
 
 
 def uncompact_table(df: DataFrame, cell="cell", res=None, by=()) -> DataFrame:
