@@ -2,8 +2,9 @@
 
 ``register(spark, prefix)`` defines them under any prefix, so existing queries run
 unchanged with the prefix they use.  Each is a plain SQL function that Spark inlines, so
-a call may stand in a filter or join, and one that gives a list under LATERAL explode.
-``column(name, ...)`` is the same call for the DataFrame API.
+a call may stand in a filter or join.  Lists also come as table functions (``..._rows``)
+for LATERAL, each a narrow generator.  ``column(name, ...)`` is a scalar call for the
+DataFrame API.
 
 Geometry comes from the table jobs, run on ``Inline`` parameters.  A table job of the same
 name is quicker on large tables: its steps are generated code, those of a call are not.
@@ -180,6 +181,25 @@ def definitions():
     }
 
 
+@cache
+def tables():
+    """name -> (parameters, columns, generator): table functions, for LATERAL"""
+    scalar, ck = definitions(), "cell BIGINT, k INT"
+    edges = topology.adjacency_edges(Inline("cell")).values("named_struct('e', edge, 'd', destination)")
+    vertices = topology.cell_vertices(Inline("cell")).values("named_struct('n', n, 'v', vertex)")
+    return {
+        "grid_disk_rows": (ck, "ring INT, member BIGINT", f"inline({_disk()})"),
+        "grid_disk_unsafe_rows": (ck, "ring INT, member BIGINT", f"inline({_disk('null')})"),
+        "grid_ring_rows": (ck, "ring INT, member BIGINT", f"inline({_disk(only_ring=True)})"),
+        "grid_ring_unsafe_rows": (ck, "ring INT, member BIGINT", f"inline({_disk('null', True)})"),
+        "grid_path_rows": ("a BIGINT, b BIGINT", "step INT, member BIGINT", f"posexplode({scalar['grid_path_cells'][2]})"),
+        "directed_edge_rows": ("cell BIGINT", "edge BIGINT, destination BIGINT", f"inline({edges})"),
+        "vertex_rows": ("cell BIGINT", "n INT, vertex BIGINT", f"inline({vertices})"),
+        "children_rows": ("cell BIGINT, res INT", "child BIGINT", f"explode({scalar['cell_to_children'][2]})"),
+        "pentagon_rows": ("res INT", "cell BIGINT", f"explode({scalar['get_pentagons'][2]})"),
+    }
+
+
 def column(name: str, *args) -> Column:
     """A call as a Column: arguments are column names or SQL expressions, in the order of the parameters."""
     params, returns, body = definitions()[name]
@@ -210,4 +230,11 @@ def register(spark: SparkSession, prefix="hx_", only=None):
             continue
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({params}) RETURNS {returns} RETURN {body}")
         names.append(prefix + name)
+    for name, (params, columns, generator) in tables().items():
+        if only is not None and name not in only:
+            continue
+        listed = ", ".join(c.split(" ")[0] for c in columns.split(", "))
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({params}) RETURNS TABLE({columns}) "
+                  f"RETURN SELECT {listed} FROM {generator} AS rows({listed})")
+        names.append(prefix + name)
     return names

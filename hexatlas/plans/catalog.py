@@ -2,6 +2,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import bits
+from ..functions import sql as names
 from ..operators import audit, dimensions, dissolve, hierarchy, indexing, polyfill, topology, traversal
 from ..sources import polygons
 from . import duck
@@ -610,3 +611,67 @@ def _(spark, sf):
 def _(spark, sf):
     shapes = dissolve.polygons_as(dissolve.dissolve_cells(_disks(spark, sf), by=["k"], res=6), text="wkt", binary="wkb")
     return shapes.selectExpr("k", "wkt", "length(wkb) AS n_bytes")
+
+
+# ---- functions by name -------------------------------------------------------------------
+
+def named(spark, statement, *functions, **tables):
+    """A statement that calls functions by name, over tables given by keyword."""
+    names.register(spark, "hx_", set(functions))
+    return spark.sql(statement, **tables)
+
+
+_NORTH = f"SELECT k FROM ({duck.centers(indexed_sql(6), ['k'], 6)}) WHERE lat > 0"
+
+
+@query("sql_index_and_disk", f"SELECT d.k, {_hex('cell')} AS hex, member FROM ({_DISK}) d JOIN ({indexed_sql(6)}) c ON c.k = d.k "
+       f"WHERE d.k IN ({_NORTH})")
+def _(spark, sf):
+    """A call in SELECT, one in WHERE, and a disk under LATERAL."""
+    return named(spark, "SELECT k, hx_index_to_string(cell) AS hex, member FROM "
+                 "(SELECT k, hx_latlng_to_cell(lat, lng, 6) AS cell FROM {points}), LATERAL hx_grid_disk_rows(cell, 2) "
+                 "WHERE hx_cell_to_lat(cell) > 0", "index_to_string", "latlng_to_cell", "grid_disk_rows", "cell_to_lat", points=points(spark, sf))
+
+
+@query("sql_edges", f"SELECT k, {_edge_sql('origin', 'd')} AS edge, destination, true AS back, 1 AS steps FROM ({_NEXT})")
+def _(spark, sf):
+    return named(spark, "SELECT k, edge, hx_get_directed_edge_destination(edge) AS destination, "
+                 "hx_directed_edge_to_cells(hx_reverse_directed_edge(edge))[1] = cell AS back, "
+                 "CAST(hx_grid_distance(cell, destination) AS INT) AS steps FROM {cells}, LATERAL hx_directed_edge_rows(cell)",
+                 "get_directed_edge_destination", "directed_edge_to_cells", "reverse_directed_edge", "grid_distance",
+                 "directed_edge_rows", cells=indexed(spark, sf, 6))
+
+
+
+
+@query("sql_validity", f"SELECT k, k % 3 = 0 AND k % 8 = 0 AS is_cell, k % 3 = 1 AND k % 8 BETWEEN 1 AND 6 AND NOT (k % 8 = 1 AND pent) AS is_edge, "
+       f"k % 2 = 1 AS odd FROM (SELECT k, {_pent_sql('cell', 2)} AS pent FROM ({every_sql(2)}) WHERE k % 2 = 0 "
+       f"UNION ALL SELECT k, {_pent_sql('cell', 3)} FROM ({every_sql(3)}) WHERE k % 2 = 1)")
+def _(spark, sf):
+    cells = every(spark, sf, 2).filter("k % 2 = 0").unionByName(every(spark, sf, 3).filter("k % 2 = 1"))
+    rows = cells.selectExpr("k", f"cell + get(array(0L, 1L, 3L), CAST(k % 3 AS INT)) * {1 << 59}L + (k % 8) * {1 << 56}L AS idx")
+    return named(spark, "SELECT k, hx_is_valid_cell(idx) AS is_cell, hx_is_valid_directed_edge(idx) AS is_edge, "
+                 "hx_is_res_class_iii(idx) AS odd FROM {rows}", "is_valid_cell", "is_valid_directed_edge", "is_res_class_iii", rows=rows)
+
+
+@query("sql_assembled", f"SELECT k, CASE WHEN NOT (k % 122 IN {PENT} AND (k % 7 = 1 OR (k % 7 = 0 AND (k // 7) % 7 = 1))) "
+       f"THEN {_hex(keyed_cell('k', 2, 'duck'))} END AS hex FROM (SELECT o_orderkey AS k FROM orders)")
+def _(spark, sf):
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey AS k")
+    return named(spark, "SELECT k, hx_construct_cell_string(CAST(k % 122 AS INT), array(CAST(k % 7 AS INT), CAST((k DIV 7) % 7 AS INT))) AS hex "
+                 "FROM {rows}", "construct_cell_string", rows=rows)
+
+
+@query("sql_pentagons", f"SELECT k, {_hex('cell')} AS hex FROM (SELECT n_nationkey AS k, CAST({1 << 59} + CAST(n_nationkey % 16 AS BIGINT) "
+       f"* {1 << 52} + CAST(b AS BIGINT) * {1 << 45} + CAST(pow(8, 15 - n_nationkey % 16) AS BIGINT) - 1 AS BIGINT) AS cell "
+       f"FROM nation, (SELECT unnest([{PENT[1:-1]}]) AS b))")
+def _(spark, sf):
+    return named(spark, "SELECT k, explode(hexes) AS hex FROM (SELECT n_nationkey AS k, "
+                 "hx_get_pentagons_string(CAST(n_nationkey % 16 AS INT)) AS hexes FROM {nation})", "get_pentagons_string",
+                 nation=table(spark, sf, "nation"))
+
+
+@query("sql_ring_unsafe", f"SELECT k, member FROM ({_RINGS[2]}) WHERE k NOT IN (SELECT k FROM ({_DISK}) "
+       f"WHERE (member >> 45) & 127 IN {PENT} AND (member >> 27) & 262143 = 0)")
+def _(spark, sf):
+    return named(spark, "SELECT k, member FROM {cells}, LATERAL hx_grid_ring_unsafe_rows(cell, 2)", "grid_ring_unsafe_rows", cells=indexed(spark, sf, 6))
