@@ -1,27 +1,30 @@
 """Mixing sources to target weights by iterative proportional fitting. DataFrame functions only.
 
-Documents are counted into cells (source, language, topic) of tokens. Raking multiplies the cells' weights until the weighted tokens
-of every source, language and topic meet their targets; a document's calibrated probability of being kept is its cell's weight,
-scaled so that the stated share of all tokens is kept, at most 1. Whether a document stays is decided by a hash of its doc_id.
+Documents are counted into cells (source, language, topic) of tokens. Raking multiplies the cells' weights, each bounded at 1 as a
+probability, until the kept tokens of every source, language and topic meet their targets: the bound stands inside the loop, so that
+what one full cell can't give its neighbours do. Whether a document stays is decided by a hash of its doc_id.
 
-Targets are tempered shares: a value with share s of the tokens gets s^POWER, normalised, so that a source with a third of all
-rows gives way to small ones. Other targets can be given as {column: {value: share}}.
+Targets are tempered shares: a value with t of the tokens wants t^POWER, normalised, so that a source with a third of all rows gives
+way to small ones. A value can't have more than all its tokens; what it can't take goes to the others, so that the kept tokens are KEEP of
+all. Such targets of three columns may still exclude each other. They are therefore also fitted blended with plain KEEP of each value's
+tokens, in quarters (LEVELS), which always can be met in the end; the boldest level that is met counts.
 
-Capped at 1, calibrated probabilities need not meet the targets any more. `bounded` fits the probabilities themselves, and keeps as
-much as the targets allow, at most the stated share; the pipeline and all given targets use it.
+Other targets can be given as {column: {value: share}}. They are fitted as they are, at ten sizes up to the largest that the values'
+tokens allow (at most KEEP); the largest that is met counts, and where none is a ValueError is raised.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, stash, unpacked, whole_row
+from .common import discard, load, stash, unpacked, whole_row
 
 MARGINALS = ("source", "lang", "topic")
 POWER, KEEP, ROUNDS, SEED = 0.7, 0.9, 10, "mix-1"
-FITS, HALVINGS, MISS = 1000, 20, 1e-3  # of bounded: rounds of a fit, steps to the largest share, what a kept share may miss of all kept tokens
+MISS, MOST = 1e-3, 1e9  # what the kept tokens of a value may miss of all kept tokens; the largest weight
+LEVELS = (1.0, 0.75, 0.5, 0.25, 0.0)
+SIZES = tuple(i / 10 for i in range(10, 0, -1))
 #: documents has no topics: the first pattern that a text matches names its topic, "prose" where none does.
 TOPICS = (("table", " \\| "), ("legal", "[Ll]icense|[Cc]opyright"), ("contact", "@[A-Za-z]"))
 
@@ -49,122 +52,87 @@ def described(docs: DataFrame) -> DataFrame:
                              "_topic": topic(text), "_tokens": tokens(text), "_u": u})
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, rounds: int = ROUNDS) -> DataFrame:
-    """cells (_source, _lang, _topic, tokens) with `factor`: the raked multiple of a cell's tokens. Cells of no tokens follow along."""
-    fitted = cells
-    for c in MARGINALS:  # totals by value, then the values' shares; joined on the value, a row each
-        shares = cells.groupBy(f"_{c}").agg(F.sum("tokens").alias("_t"))
-        given = (targets or {}).get(c)
-        weight = F.pow("_t", F.lit(power))
-        if given:
+def filled(have: DataFrame, total: float, keep: float) -> float:
+    """The scale at which least(t, scale * w), summed over the values, is `keep` of all tokens. Only sums reach the driver."""
+    scale, before = None, 0
+    while True:  # values that the scale fills up are set aside; their number only grows
+        full = F.lit(False) if scale is None else F.col("w") * F.lit(scale) >= F.col("t")
+        row = have.agg(F.sum(F.when(full, F.col("t")).otherwise(0.0)).alias("full"), F.sum(F.when(full, 1).otherwise(0)).alias("n"),
+                       F.sum(F.when(full, 0.0).otherwise(F.col("w"))).alias("rest")).first()
+        if not row["rest"] or (scale is not None and row["n"] == before):
+            return scale
+        before, scale = row["n"], (keep * total - row["full"]) / row["rest"]
+
+
+def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP,
+         rounds: int = ROUNDS) -> DataFrame:
+    """cells (_source, _lang, _topic, tokens) with prob, and factor, prob over the share of all tokens kept. Cells of no tokens follow along.
+
+    Targets that name values without tokens, or that can't be met together at any size, raise a ValueError.
+    """
+    names = [f"_{c}" for c in MARGINALS]
+    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
+    if not total:
+        return cells.select(*names, "tokens", F.lit(1.0).alias("prob"), F.lit(1.0).alias("factor"))
+    fitted, highest = cells, keep
+    for c in MARGINALS:  # totals by value, then the values' goals; joined on the value, a row each
+        have = cells.groupBy(f"_{c}").agg(F.sum("tokens").alias("t"))
+        weight = F.pow("t", F.lit(power))
+        if given := (targets or {}).get(c):
+            held = {r[0] for r in have.where("t > 0").where(F.col(f"_{c}").isin(list(given))).collect()}  # no more than were given
+            if empty := sorted(v for v, share in given.items() if share > 0 and v not in held):
+                raise ValueError(f"no tokens of {c} {', '.join(empty)}, for which there is a target")
             known = F.create_map(*[F.lit(x) for value, share in given.items() for x in (value, float(share))])
             weight = F.coalesce(known[F.col(f"_{c}")], F.lit(0.0))
-        sums = shares.agg(F.sum(weight).alias("w"), F.sum("_t").alias("t")).first()
-        goal = shares.select(f"_{c}", (weight / F.lit(sums["w"] or 1.0) * F.lit(sums["t"] or 0.0)).alias(f"_goal_{c}"))
+        have = have.withColumn("w", weight)
+        if targets:
+            row = have.agg(F.sum("w").alias("w"), F.min(F.when(F.col("w") > 0, F.col("t") / F.col("w"))).alias("r")).first()
+            highest = min(highest, row["r"] * row["w"] / total)
+            goal = have.select(f"_{c}", (F.col("w") / F.lit(row["w"]) * F.lit(total)).alias(f"_bold_{c}"), F.lit(0.0).alias(f"_plain_{c}"))
+        else:
+            scale = filled(have, total, keep)
+            goal = have.select(f"_{c}", F.least("t", F.col("w") * F.lit(scale)).alias(f"_bold_{c}"), (F.col("t") * F.lit(keep)).alias(f"_plain_{c}"))
         fitted = fitted.join(goal, f"_{c}")
-    fitted = stash(fitted.withColumn("factor", F.lit(1.0)))
+    levels = [highest * x for x in SIZES] if targets else list(LEVELS)
+    fitted = fitted.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).withColumn("weight", F.lit(keep))
+    fitted = stash(fitted.select(*names, "tokens", "level", "weight", *[
+        (F.col("level") * F.col(f"_bold_{c}") + (1 - F.col("level")) * F.col(f"_plain_{c}")).alias(f"_goal_{c}") for c in MARGINALS]))
+
+    def now(c: str) -> Column:
+        return F.expr(f"sum(tokens * least(1D, weight)) OVER (PARTITION BY level, _{c})")
+
     for i in range(rounds):
         for c in MARGINALS:
-            now = F.expr(f"sum(tokens * factor) OVER (PARTITION BY _{c})")
-            fitted = fitted.withColumn("_now", now).withColumn(
-                "factor", F.when(F.col("_now") > 0, F.col("factor") * F.col(f"_goal_{c}") / F.col("_now")).otherwise(F.col("factor"))).drop("_now")
+            raked = F.least(F.col("weight") * F.col(f"_goal_{c}") / F.col("_now"), F.lit(MOST))
+            fitted = fitted.withColumn("_now", now(c)).withColumn("weight", F.when(F.col("_now") > 0, raked).otherwise(F.col("weight"))).drop("_now")
         if i % 5 == 4 or i == rounds - 1:
             fitted = stash(fitted)
-    return fitted.select(*[f"_{c}" for c in MARGINALS], "tokens", "factor")
-
-
-def calibrate(cells: DataFrame, keep: float = KEEP) -> DataFrame:
-    """cells with prob = min(1, scale * factor), the scale such that `keep` of all tokens is expected to stay."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
-    scale, before = float("inf"), -1
-    if total:
-        scale = keep
-        while True:  # cells that the scale fills up are set aside; their number only grows
-            full = F.col("factor") * F.lit(scale) >= 1
-            if before < 0:
-                full = F.lit(False)
-            row = cells.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("full"), F.sum(F.when(full, 0).otherwise(1)).alias("open"),
-                            F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * F.col("factor"))).alias("rest")).first()
-            if row["open"] == before or not row["rest"]:
-                break
-            before, scale = row["open"], (keep * total - row["full"]) / row["rest"]
-    return cells.withColumn("prob", F.least(F.lit(1.0), F.col("factor") * F.lit(scale)))
-
-
-def bounded(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP) -> DataFrame:
-    """cells with prob and factor, prob over the share of all tokens kept: the kept tokens of every source, language and topic meet their targets.
-
-    prob = min(1, a * b * c), one multiplier for each source, language and topic; the share kept is the largest at most `keep` for which
-    such probabilities are found. Cells are fitted on the driver, a row per source, language and topic. Targets that name values
-    without tokens, or can't be met together at any share, raise a ValueError.
-    """
-    names = [f"_{c}" for c in MARGINALS]
-    rows = cells.select(*names, "tokens").collect()
-    tokens = np.array([r["tokens"] for r in rows])
-    total = tokens.sum()
-    spots, goals, highest = [], [], keep
-    for c in MARGINALS if total else ():
-        values, at = np.unique([r[f"_{c}"] for r in rows], return_inverse=True)
-        have = np.bincount(at, tokens)
-        want = have ** power
-        if given := (targets or {}).get(c):
-            held = dict(zip(values.tolist(), have))
-            if empty := sorted(v for v, share in given.items() if share > 0 and not held.get(v)):
-                raise ValueError(f"no tokens of {c} {', '.join(empty)}, for which there is a target")
-            want = np.array([float(given.get(v, 0.0)) for v in values.tolist()])
-        goal = want / want.sum()
-        highest = min(highest, (have[goal > 0] / goal[goal > 0]).min() / total)
-        spots.append(at)
-        goals.append(goal)
-
-    def fit(share: float) -> np.ndarray | None:
-        weight = np.full(len(rows), share)
-        for _ in range(FITS):
-            for at, goal in zip(spots, goals):
-                now = np.bincount(at, tokens * np.minimum(weight, 1), len(goal))
-                weight = np.minimum(weight * np.divide(goal * share * total, now, out=np.ones(len(goal)), where=now > 0)[at], 1e9)
-            prob = np.minimum(weight, 1)
-            if all(np.abs(np.bincount(at, tokens * prob, len(goal)) / total - goal * share).max() <= MISS * share for at, goal in zip(spots, goals)):
-                return prob
-        return None
-
-    best, low, high = (fit(highest) if total else np.ones(len(rows))), 0.0, highest
-    share = highest if total else 1.0
-    if best is None:
-        for _ in range(HALVINGS):  # what is feasible stays so at any smaller share
-            middle = (low + high) / 2
-            prob = fit(middle)
-            if prob is None:
-                high = middle
-            else:
-                best, low, share = prob, middle, middle
-    if best is None:
+    missed = fitted.select("level", F.greatest(*[F.abs(now(c) - F.col(f"_goal_{c}")) for c in MARGINALS]).alias("miss"))
+    share = F.col("level") if targets else F.lit(keep)
+    met = missed.groupBy("level").agg(F.max("miss").alias("miss")).where(F.col("miss") <= F.lit(MISS * total) * share).agg(F.max("level")).first()[0]
+    if met is None:
         raise ValueError("the targets can't be met together")
-    made = [(*(r[n] for n in names), r["tokens"], float(p), float(p / share)) for r, p in zip(rows, best)]
-    return cells.sparkSession.createDataFrame(made, ", ".join(f"{n} string" for n in names) + ", tokens double, prob double, factor double")
+    prob = F.least(F.lit(1.0), F.col("weight"))
+    return fitted.where(F.col("level") == F.lit(met)).select(*names, "tokens", prob.alias("prob"), (prob / share).alias("factor"))
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP,
-          exact: bool | None = None) -> DataFrame:
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP) -> DataFrame:
     """doc_id, text, source and lang (and _row, if there) of docs with _source, _lang, _topic, _tokens, factor, prob and kept.
 
-    exact: probabilities that meet the targets (`bounded`), at a share of at most `keep`; by default where targets are given. Otherwise
-    `keep` of all tokens stays and the kept tokens may miss the targets.
     Cells are pre-aggregated before any shuffle of rows; texts are not shuffled where Spark sees that the table of cells is small.
     Null or empty texts weigh nothing and share their cell's probability; an empty table stays empty; repeated rows stay or go together.
     """
     told = described(docs.select("doc_id", "text", "source", "lang", *[c for c in docs.columns if c == "_row"]))
     cells = stash(told.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")))
-    exact = bool(targets) if exact is None else exact
-    chosen = stash((bounded(cells, targets, power, keep) if exact else calibrate(rake(cells, targets, power), keep)).drop("tokens"))
+    chosen = stash(rake(cells, targets, power, keep).drop("tokens"))
+    discard(cells)
     return told.join(chosen, ["_source", "_lang", "_topic"]).withColumn("kept", F.col("_u") < F.col("prob"))
 
 
-def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP,
-           exact: bool | None = None) -> DataFrame:
+def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, keep: float = KEEP) -> DataFrame:
     """The rows of docs that stay; the columns of docs."""
     row = docs.select(whole_row(docs).alias("_row"), *[docs[c] for c in ("doc_id", "text", "source", "lang")])
-    return unpacked(mixed(row, targets, power, keep, exact).where("kept"), "_row", docs)
+    return unpacked(mixed(row, targets, power, keep).where("kept"), "_row", docs)
 
 
 def op8_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,31 +144,36 @@ def op8_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sql() -> str:
     case = " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{n}'" for n, p in TOPICS)
+
+    def now(c: str) -> str:
+        return f"sum(tokens * least(1, weight)) OVER (PARTITION BY level, {c})"
+
     steps, last = [], "goals"
     for i in range(ROUNDS):
         for c in MARGINALS:
-            now = f"sum(tokens * factor) OVER (PARTITION BY {c})"
-            steps.append(f"r{i}_{c} AS (SELECT * REPLACE (CASE WHEN {now} > 0 THEN factor * goal_{c} / {now} ELSE factor END AS factor) FROM {last})")
+            steps.append(f"r{i}_{c} AS (SELECT * REPLACE (CASE WHEN {now(c)} > 0 THEN least(weight * goal_{c} / {now(c)}, {MOST}) "
+                         f"ELSE weight END AS weight) FROM {last})")
             last = f"r{i}_{c}"
-    goals = ", ".join(f"goal_{c}" for c in MARGINALS)
-    shares = ", ".join(f"""goals_{c} AS (SELECT {c}, pow(t, {POWER}) / sum(pow(t, {POWER})) OVER () * sum(t) OVER () AS goal_{c}
-      FROM (SELECT {c}, sum(tokens) AS t FROM cells GROUP BY {c}))""" for c in MARGINALS)
-    joins = " ".join(f"JOIN goals_{c} USING ({c})" for c in MARGINALS)
+    fills = ", ".join(f"""have_{c} AS (SELECT {c}, sum(tokens) AS t, pow(sum(tokens), {POWER}) AS w FROM cells GROUP BY {c}),
+tried_{c} AS (SELECT t, w, ({KEEP} * sum(t) OVER () - coalesce(sum(t) OVER before, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS scale
+  FROM have_{c} WHERE t > 0 WINDOW before AS (ORDER BY t, {c} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+fill_{c} AS (SELECT {c}, least(t, w * (SELECT max(scale) FROM tried_{c} WHERE scale * w <= t)) AS bold_{c}, {KEEP} * t AS plain_{c} FROM have_{c})"""
+                      for c in MARGINALS)
+    goals = ", ".join(f"level * bold_{c} + (1 - level) * plain_{c} AS goal_{c}" for c in MARGINALS)
+    joins = " ".join(f"JOIN fill_{c} USING ({c})" for c in MARGINALS)
+    levels = ", ".join(f"({x}::DOUBLE)" for x in LEVELS)
     return f"""
 WITH told AS (
   SELECT doc_id, coalesce(source, 'none') AS source, coalesce(lang, 'none') AS lang, CASE {case} ELSE 'prose' END AS topic,
     coalesce(len(list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda w: w <> '')), 0)::DOUBLE AS tokens,
     ('0x' || md5(coalesce(doc_id::VARCHAR, md5(text), '') || ':{SEED}')[1:12])::BIGINT / {1 << 48}.0::DOUBLE AS u
   FROM documents),
-cells AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM told GROUP BY ALL),
-{shares},
-goals AS (SELECT source, lang, topic, tokens, 1.0::DOUBLE AS factor, {goals} FROM cells {joins}),
+cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens) AS tokens FROM told GROUP BY ALL),
+{fills},
+goals AS (SELECT source, lang, topic, tokens, level, {KEEP}::DOUBLE AS weight, {goals} FROM cells {joins}, (VALUES {levels}) AS levels(level)),
 {", ".join(steps)},
-ordered AS (
-  SELECT *, {KEEP} * sum(tokens) OVER () - coalesce(sum(tokens) OVER before, 0) AS want,
-    sum(tokens * factor) OVER () - coalesce(sum(tokens * factor) OVER before, 0) AS rest
-  FROM {last} WINDOW before AS (ORDER BY factor DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-scaled AS (SELECT max_by(want / rest, factor) AS scale FROM ordered WHERE rest > 0 AND want / rest * factor <= 1)
-SELECT doc_id, source, lang, topic, t.tokens::BIGINT AS tokens, round(factor, 6) AS factor, round(least(1, scale * factor), 6) AS prob,
-  u < least(1, scale * factor) AS kept
-FROM told t JOIN {last} USING (source, lang, topic), scaled"""
+raked AS MATERIALIZED (SELECT *, greatest({", ".join(f"abs({now(c)} - goal_{c})" for c in MARGINALS)}) AS miss FROM {last}),
+met AS (SELECT level FROM raked GROUP BY level HAVING max(miss) <= {MISS * KEEP} * (SELECT sum(tokens) FROM cells)),
+chosen AS (SELECT source, lang, topic, least(1, weight) AS prob FROM raked WHERE level = (SELECT max(level) FROM met))
+SELECT doc_id, source, lang, topic, t.tokens::BIGINT AS tokens, round(prob / {KEEP}, 6) AS factor, round(prob, 6) AS prob, u < prob AS kept
+FROM told t JOIN chosen USING (source, lang, topic)"""
