@@ -1,16 +1,14 @@
 """Line dedup by a deletion-neighbourhood join. DataFrame functions only.
 
-A line is its words, split at spaces. Lines of under MIN_WORDS words are never dropped. A longer line is dropped where an earlier line
-has the same words, or, from NEAR_WORDS words on, lies within one word's insertion, deletion or substitution. Earlier means by
-(doc_id, text hash, line number), null doc_ids last. The earlier line counts whether or not it is dropped itself.
+A line is its words: what stands between white space of any kind, and each character of scripts without spaces. A line is dropped where
+an earlier line has the same words, or, from NEAR_WORDS words on, lies within one word's insertion, deletion or substitution of an earlier
+one that long. Earlier means by (doc_id, text hash, line number), null doc_ids last. The earlier line counts whether or not it is dropped
+itself. Blank lines stay.
 
 Every candidate line emits its variants with one word deleted, as hashed keys. Lines that share a variant deleted at the same place
 differ by a substitution; a variant that is another line's full key is a deletion. Only the earliest line of each key is kept, so a
 key shared by a third of all lines costs a row each, never their pairs. Candidates are lines that share their first or last half of
 words with another line, which two lines within one edit always do. Links are verified on the words themselves.
-
-That is op2, as its SQL has it. The pipeline drops exact repeats of lines of any words (min_words 1) and splits at all white space and
-around each character of scripts without spaces (everywhere); only blank lines stay.
 """
 
 from __future__ import annotations
@@ -20,19 +18,19 @@ from pyspark.sql import functions as F
 
 from .common import discard, load, sieve, stash, unpacked, whole_row
 
-MIN_WORDS, NEAR_WORDS = 5, 10
+NEAR_WORDS = 5
 CLASS = ["k1", "k2"]  # two hashes of a line's words
 PLACE = ["d", "t", "i"]  # doc_id (null: the largest long), hash of the text, number of the line in it
 LAST = (1 << 63) - 1
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")
 
 
-UNSPACED = "".join(f"\\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
-
-
-def _words(line: Column | str, everywhere: bool = False) -> Column:
-    if everywhere:
-        return F.filter(F.split(F.regexp_replace(line, f"([{UNSPACED}])", " $1 "), "(?U)\\s+"), lambda w: w != "")
-    return F.filter(F.split(line, " "), lambda w: w != "")
+def _words(line: Column | str) -> Column:
+    line = F.col(line) if isinstance(line, str) else line
+    one = "".join(f"\\p{{Is{s}}}" for s in UNSPACED)
+    wide = F.split(F.regexp_replace(line, f"([{one}])", " $1 "), "(?U)\\s+")
+    plain = F.split(F.translate(line, "\t\x0b\f\r", "    "), " ")  # the same for ASCII, and quicker
+    return F.filter(F.when(F.octet_length(line) == F.length(line), plain).otherwise(wide), lambda w: w != "")
 
 
 def documents(docs: DataFrame) -> DataFrame:
@@ -49,16 +47,16 @@ def _half_keys(words: Column, n: Column) -> Column:
     return F.array_distinct(F.array(*keys(longer), *keys(shorter)))
 
 
-def lines(keyed: DataFrame, min_words: int, near_words: int, everywhere: bool = False) -> DataFrame:
-    """Rows (d, t, i, k1, k2, halves): the lines long enough to be dropped; halves is null below near_words."""
-    rows = keyed.select("d", "t", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("w", _words("line", everywhere))
+def lines(keyed: DataFrame, near_words: int) -> DataFrame:
+    """Rows (d, t, i, k1, k2, halves): all lines but blank ones; halves is null below near_words."""
+    rows = keyed.select("d", "t", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("w", _words("line"))
     n = F.size("w")
-    return (rows.where(n >= min_words)
+    return (rows.where(n >= 1)
             .select(*PLACE, F.xxhash64("w").alias("k1"), F.xxhash64(F.lit(7), "w").alias("k2"),
                     F.when(n >= near_words, _half_keys(F.col("w"), n)).alias("halves")))
 
 
-def candidates(rows: DataFrame, classes: DataFrame, keyed: DataFrame, everywhere: bool = False) -> DataFrame:
+def candidates(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     """Rows (id, k1, k2, w): the first occurrence, with its words, of each class that shares a half key with another class.
 
     Ids follow the order of places: a smaller id is an earlier line.
@@ -75,7 +73,7 @@ def candidates(rows: DataFrame, classes: DataFrame, keyed: DataFrame, everywhere
     found = (one.select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("c"))
              .select("c.*", F.element_at("all", F.col("c.first.i") + 1).alias("line")))
     ordered = found.repartitionByRange("first.d", "first.t", "first.i").sortWithinPartitions("first.d", "first.t", "first.i")
-    cand = stash(ordered.select(F.monotonically_increasing_id().alias("id"), *CLASS, _words("line", everywhere).alias("w")))
+    cand = stash(ordered.select(F.monotonically_increasing_id().alias("id"), *CLASS, _words("line").alias("w")))
     for done in (shared, wanted):
         discard(done)
     return cand
@@ -137,12 +135,12 @@ def verified(found: DataFrame, cand: DataFrame) -> DataFrame:
     return pair.where(edited).select(*CLASS).distinct()
 
 
-def dropped(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, everywhere: bool = False) -> DataFrame:
+def dropped(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """Rows (d, t, drop), a written table: for each document that loses lines, their numbers in order."""
     keyed = documents(docs)
-    rows = stash(lines(keyed, min_words, near_words, everywhere))
+    rows = stash(lines(keyed, near_words))
     classes = stash(rows.groupBy(*CLASS).agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n")))
-    cand = candidates(rows, classes, keyed, everywhere)
+    cand = candidates(rows, classes, keyed)
     found = links(cand)
     late = stash(verified(found, cand).withColumn("late", F.lit(True)))
     marked = stash(classes.where("n > 1").join(late, CLASS, "left").unionByName(classes.where("n = 1").join(late, CLASS))
@@ -155,14 +153,14 @@ def dropped(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_
     return out
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, everywhere: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """docs with the dropped lines cut out of text (and n_chars, if there, counted anew); all rows, the columns of docs.
 
     Null texts stay null and empty ones empty; a text may become empty. Repeated rows lose the same lines. Empty table: no rows.
     """
     keyed = docs.select(whole_row(docs).alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("d"),
                         F.xxhash64(docs["text"]).alias("t"))
-    drops = dropped(docs.select("doc_id", "text"), min_words, near_words, everywhere)
+    drops = dropped(docs.select("doc_id", "text"), near_words)
     key, member = F.xxhash64("d", "t"), drops.select(F.xxhash64("d", "t").alias("doc"))
     touched = sieve(keyed, key, member).join(drops, ["d", "t"], "left")
     kept = F.array_join(F.filter(F.split("row.text", "\n"), lambda x, i: ~F.array_contains("drop", i)), "\n")
@@ -185,12 +183,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sql() -> str:
+    one = "".join(f"\\p{{{s}}}" for s in UNSPACED)
     return f"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
-words AS (SELECT doc_id, i, list_filter(string_split(line, ' '), lambda w: w <> '') AS w FROM lines),
-usable AS (SELECT * FROM words WHERE len(w) >= {MIN_WORDS}),
+words AS (
+  SELECT doc_id, i, list_filter(regexp_split_to_array(regexp_replace(line, '([{one}])', ' \\1 ', 'g'), '[\\t\\n\\x0B\\f\\r\\x{{85}}\\p{{Z}}]+'),
+    lambda w: w <> '') AS w FROM lines),
+usable AS (SELECT * FROM words WHERE len(w) > 0),
 classes AS (SELECT w, min((doc_id, i)) AS first FROM usable GROUP BY w),
 places AS (SELECT w, first, unnest(range(len(w))) AS j FROM classes WHERE len(w) >= {NEAR_WORDS}),
 cuts AS (SELECT w, first, j, list_concat(w[:j], w[j + 2:]) AS v FROM places),
