@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import load, stash
 
-SAMPLE, FEATURES, LEAST_DOCS, LEAST_Z, RIDGE, STEPS, REJECT = 10_000, 1_500, 5, 2.5, 1.0, 300, 0.5
+SAMPLE, FEATURES, FEW, LEAST_Z, RIDGE, ENOUGH, STEPS, REJECT = 10_000, 1_500, 50, 2.5, 1.0, 100, 300, 0.5
 WORD = re.compile(r"\w+")
 STEMS = range(4, 9)
 
@@ -98,12 +98,13 @@ def fit_cumulative(x: np.ndarray, grade: np.ndarray, ridge: float = RIDGE, steps
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Rows (doc_id, text, toxic) of at most `sample` labelled doc_ids, the first by hash; repeated labels count by their largest."""
+    """Rows (doc_id, text, toxic) of at most `sample` labelled doc_ids, the first by hash; repeated labels count by their largest, of
+    texts that share a doc_id the least in byte order counts, equal rows once."""
     known = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # the chosen labels are at most `sample` rows of two numbers
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    return stash(rows.select("doc_id", "text", (F.col("toxic") > 0).alias("toxic")).dropDuplicates(["doc_id"]))
+    return stash(rows.groupBy("doc_id").agg(F.min("text").alias("text"), (F.max("toxic") > 0).alias("toxic")))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = FEATURES) -> Model | None:
@@ -125,8 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     found = rows.mapInPandas(tally, "feature string, bad long, good long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = (F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1)))
     z = odds / F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
-    chosen = (found.where(F.col("bad") + F.col("good") >= LEAST_DOCS).withColumn("z", z)
-              .where(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "feature").limit(most).collect())
+    best = found.withColumn("z", z).orderBy(F.abs("z").desc(), "feature").limit(most).collect()
+    chosen = [r for r in best if abs(r["z"]) >= LEAST_Z] or best[:FEW]  # nothing sure: the strongest there are
     names = sorted(r["feature"] for r in chosen)
     apart = {r["feature"] for r in chosen if r["z"] > 4 and r["bad"] > r["good"]}
     place = {f: i for i, f in enumerate(names)}
@@ -151,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     evidence = x[:, marks].max(axis=1, initial=0)
     toxic = table["toxic"].to_numpy(dtype=bool)
     grade = np.where(toxic, 1 + (evidence > np.median(evidence[toxic])), 0)
-    weights, thresholds = fit_cumulative(x, grade)
+    weights, thresholds = fit_cumulative(x, grade, RIDGE * min(1.0, bad / ENOUGH))  # few toxic labels must still outweigh the penalty
     return Model({f: float(w) for f, w in zip(names, weights) if abs(w) > 1e-4}, tuple(float(t) for t in thresholds))
 
 

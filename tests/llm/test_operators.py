@@ -90,8 +90,8 @@ def brute_lines(rows):
     for key, text in sorted({((last if i is None else i), t) for i, t in rows if t is not None}, key=lambda r: r[0]):
         for n, line in enumerate(text.split("\n")):
             w = [x for x in line.split(" ") if x]
-            if len(w) >= 5:
-                if any(w == s or (len(w) >= 10 and len(s) >= 10 and edits_at_most_one(w, s)) for s in seen):
+            if w:
+                if any(w == s or (len(w) >= 5 and len(s) >= 5 and edits_at_most_one(w, s)) for s in seen):
                     gone.setdefault((key, text), []).append(n)
                 seen.append(w)
     return gone
@@ -103,7 +103,7 @@ def test_line_dedup_against_all_pairs(spark):
     for i in range(60):
         lines = []
         for _ in range(rng.randrange(1, 5)):
-            w = rng.choice([prose(rng, 12, 3), "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda", "one two three four five"]).split()
+            w = rng.choice([prose(rng, 12, 3), "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda", "one two three four five", "one two three four", "six of seven words stand in here"]).split()
             how = rng.randrange(4)
             at = rng.randrange(len(w))
             w = w[:at] + w[at + 1:] if how == 0 else w[:at] + ["new"] + w[at + how % 2:] if how < 3 else w
@@ -263,6 +263,16 @@ def test_toxic_documents_go_and_clean_ones_stay(spark):
     assert toxicity.train(docs, labels.where("toxic = 0")) is None
 
 
+def test_few_labels_and_one_telling_word(spark):
+    rng = random.Random(21)
+    rows = [(i, prose(rng, 30) + (" grimeword" if i % 100 == 7 or i >= 400 else "")) for i in range(420)]
+    docs = table(spark, rows + [(7, "zz a later text of a repeated id")])
+    labels = spark.createDataFrame([(i, 1, int(i % 100 == 7)) for i in range(400)], "doc_id long, quality int, toxic int")
+    kept = Counter(r["doc_id"] for r in toxicity.keep_clean(docs, labels).collect())
+    assert not {i for i in kept if i >= 400} and len([i for i in kept if i % 100 != 7]) >= 392
+    assert toxicity.labelled(docs, labels).where("doc_id = 7").collect()[0]["text"] == rows[7][1]
+
+
 def test_cumulative_link_orders_grades():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(900, 3)).astype(np.float32)
@@ -273,6 +283,16 @@ def test_cumulative_link_orders_grades():
 
 # --- mixing
 
+def filled_shares(raw):
+    """Tempered shares of the kept tokens, no value given more than it has: found by bisection of the scale."""
+    low, high = 0.0, max(raw.values()) + 1.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        kept = {k: min(v, mid * v ** mixing.POWER) for k, v in raw.items()}
+        low, high = (mid, high) if sum(kept.values()) < mixing.KEEP * sum(raw.values()) else (low, mid)
+    return {k: v / sum(kept.values()) for k, v in kept.items()}
+
+
 def test_raking_meets_the_marginals(spark):
     rng = random.Random(2)
     rows = [(i, prose(rng, rng.randrange(1, 60)) + (" license" if i % 7 == 0 else ""), rng.choice(["en", "de", None]),
@@ -285,10 +305,11 @@ def test_raking_meets_the_marginals(spark):
         raw, now = Counter(), Counter()
         for r in got:
             raw[r[c]] += r["_tokens"]
-            now[r[c]] += r["_tokens"] * r["factor"]
-        goal = {k: v ** mixing.POWER for k, v in raw.items()}
-        assert all(abs(now[k] - goal[k] / sum(goal.values()) * total) < 1e-3 * total for k in raw)
-    assert abs(sum(r["_tokens"] * r["prob"] for r in got) - mixing.KEEP * total) < 1e-6 * total
+            now[r[c]] += r["_tokens"] * r["prob"]
+        goal = filled_shares(raw)
+        assert all(abs(now[k] - goal[k] * mixing.KEEP * total) < 2e-3 * total for k in raw)
+        assert all(abs(r["factor"] * mixing.KEEP - r["prob"]) < 1e-9 for r in got)
+    assert abs(sum(r["_tokens"] * r["prob"] for r in got) - mixing.KEEP * total) < 2e-3 * total
     assert all(0 <= r["prob"] <= 1 for r in got)
     kept = mixing.sample(docs)
     assert kept.schema == docs.schema
