@@ -3,12 +3,15 @@
 Candidate blocks are the words around any distinctive word of a template. Each block is compressed by zstandard alone and with every
 template as a raw dictionary; templates are ranked by the bytes they save, and confirmed in that order by the exact differences in
 wording: of the template's words at least COVERAGE must stand in the block in order, and no more others among them than may be missing.
+The words that tell a license from its like (TELLING: names, clauses, versions) must all stand there, and no negation, version or
+telling word of another license may stand among or before them: a license without a template is not named after a similar one.
 A confirmed stretch is taken out and the rest is looked at again, so a block may hold several notices.
 """
 
 from __future__ import annotations
 
 import difflib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,6 +36,29 @@ TEMPLATES = {
     "BSD-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
                       "following conditions are met",
 }
+TEMPLATES |= {
+    "BSD": "Released under the BSD License.",
+    "ISC": "Released under the ISC License.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+}
+#: The words of a template without which it is another license or none.
+TELLING = {
+    "Apache-2.0": "apache 2.0", "MIT": "mit", "GPL-3.0": "gnu general public 3", "GPL-2.0": "gnu general public 2", "BSD": "bsd", "ISC": "isc",
+    "LGPL-2.1": "lesser 2.1", "LGPL-3.0": "lesser 3", "AGPL-3.0": "affero 3", "MPL-2.0": "mozilla 2.0", "CC-BY-NC-4.0": "cc by-nc 4.0",
+    "CC-BY-4.0": "creative attribution 4.0", "CC-BY-4.0-short": "cc by 4.0", "CC-BY-SA-4.0-short": "cc by-sa 4.0",
+    "CC-BY-SA-4.0": "creative attribution-sharealike 4.0", "GPL-header": "gnu general public", "BSD-conditions": "redistribution source binary",
+}
+#: Words that turn a notice into another one.
+TURNING = {"not", "never", "isn't", "without", "no", "library", "by-nd", "by-nc-sa", "by-nc-nd", "sharealike", "noncommercial", "noderivatives", "noderivs",
+           "attribution-noncommercial", "attribution-noderivatives", "attribution-noncommercial-sharealike", "attribution-noncommercial-noderivatives"}
+VERSION = re.compile(r"v?\d+(\.\d+)*")
 EDGE = ".,;:!?()[]\"'`*<>"
 
 
@@ -45,12 +71,15 @@ def distinctive(words: list[str]) -> set[str]:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE, level: int = LEVEL):
+    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE, level: int = LEVEL, telling: dict[str, str] | None = None):
         import ahocorasick
         import zstandard
 
         self.words = {name: wording(t) for name, t in templates.items()}
         self.coverage, self.reach = coverage, max(map(len, self.words.values()))
+        self.telling = {name: set((TELLING if telling is None else telling).get(name, "").split()) for name in templates}
+        common = {"public", "general", "source", "by"}  # telling beside others, but no license's own
+        self.turning = TURNING | set().union(*self.telling.values()) - common
         self.cues, self.plain = ahocorasick.Automaton(), zstandard.ZstdCompressor(level=level)
         self.told: dict[str, object] = {}
         for name, words in self.words.items():
@@ -93,7 +122,19 @@ class Scanner:
                 at += size - 2 * self.reach
 
     def confirm(self, name: str, words: list) -> tuple[int, int, str] | None:
-        """(first, last + 1, differences) of the template's wording in a block, or None."""
+        """(first, last + 1, differences) of the template's wording in a block, or None; a similar license's wording is passed over."""
+        left = list(words)
+        while (got := self.best(name, left)) is not None:
+            first, last, missing, extra = got
+            near = [w for w in left[max(first - 1, 0):first] if w is not None and w in TURNING]
+            turned = [w for w in extra if w in self.turning or VERSION.fullmatch(w)]
+            if not self.telling[name] & set(missing) and not near and not turned:
+                return first, last, " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in extra])
+            left[first:last] = [None] * (last - first)
+        return None
+
+    def best(self, name: str, words: list) -> tuple[int, int, list[str], list[str]] | None:
+        """(first, last + 1, missing words, other words) of the stretch most like the template, or None."""
         want = self.words[name]
         pairs = [m for m in difflib.SequenceMatcher(None, want, words, autojunk=False).get_matching_blocks() if m.size]
         allowed = int((1 - self.coverage) * len(want))
@@ -120,7 +161,7 @@ class Scanner:
             last += last < len(words) and words[last] is not None
         here = set(range(len(want))) - {k for m in best for k in range(m.a, m.a + m.size)}
         extra = [str(words[k]) for k in range(first, last) if not any(m.b <= k < m.b + m.size for m in best)]
-        return first, last, " ".join([f"-{want[k]}" for k in sorted(here)] + [f"+{w}" for w in extra])
+        return first, last, [want[k] for k in sorted(here)], extra
 
     def scan(self, text: str | None) -> list[tuple]:
         """(first word, license, bytes saved, share saved, differences) of each notice in a text, in order."""
@@ -143,7 +184,8 @@ class Scanner:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """One row per notice found: doc_id, notice (from 0), first_word, license, bytes_saved, share_saved, differences ("-" missing, "+" added).
 
-    Null and empty texts hold none; repeated rows are reported as often as they stand; null doc_ids stay null. Whole texts are read.
+    Null and empty texts hold none; repeated rows are reported as often as they stand; null doc_ids stay null. Whole texts are read,
+    very long ones in overlapping windows of words.
     """
     chosen = dict(templates or TEMPLATES)
 

@@ -404,15 +404,37 @@ def test_junk_goes_and_good_text_stays(spark):
 def test_notices_are_found_and_differences_told(spark):
     rng = random.Random(9)
     noise = prose(rng, 300)
-    rows = [(1, noise + "\nReleased under the MIT License.\n" + noise), (2, noise), (3, None), (4, ""), (5, "LICENSED under the apache license version 3.0"),
+    rows = [(1, noise + "\nReleased under the MIT License.\n" + noise), (2, noise), (3, None), (4, ""), (5, "LICENSED under the apache licence version 2.0"),
             (6, "Licensed under CC BY-NC 4.0. " + noise + " Released under the MIT License."), (7, "a licensed apache pilot met the public"),
             (8, noise * 40 + " This work is licensed under the GNU General Public License, version 3."), (None, "Released under the MIT License.")]
     got = licenses.scan(table(spark, rows)).collect()
     assert Counter((r["doc_id"], r["license"], r["differences"]) for r in got) == Counter([
-        (1, "MIT", ""), (5, "Apache-2.0", "-2.0 +3.0"), (6, "CC-BY-NC-4.0", ""), (6, "MIT", ""), (8, "GPL-3.0", ""), (None, "MIT", "")])
+        (1, "MIT", ""), (5, "Apache-2.0", "-license +licence"), (6, "CC-BY-NC-4.0", ""), (6, "MIT", ""), (8, "GPL-3.0", ""), (None, "MIT", "")])
     assert all(r["bytes_saved"] > 0 for r in got)
 
 
+def test_similar_licenses_are_named_right_or_not_at_all():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    right = {"Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0-short", "Licensed under CC BY 4.0.": "CC-BY-4.0-short", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+             "Released under the BSD License.": "BSD", "Released under the ISC License.": "ISC", "Released under the MIT License.": "MIT",
+             "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+             "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+             "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+             "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+             "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+             "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0"}
+    wrong = ["Licensed under the Apache License, Version 1.1.", "licensed under the apache license version 3.0", "Released under the Foo License.",
+             "This work is not licensed under the GNU General Public License, version 3.", "This is not released under the MIT License.",
+             "This work is licensed under a Creative Commons Attribution 3.0 International License.", "Licensed under CC BY-ND 4.0.",
+             "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."]
+    for text, name in right.items():
+        assert [(h[1], h[4]) for h in scanner.scan("some words before " + text + " And some after.")] == [(name, "")], text
+    for text in wrong:
+        assert scanner.scan("some words before " + text + " And some after.") == [], text
+    both = wrong[4] + " Yet that is " + "Released under the MIT License."
+    assert [h[1] for h in scanner.scan(both)] == ["MIT"]
+
+
 # --- empty tables
 
 def test_empty_tables(spark):
