@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..functions import sql as names
-from ..operators import audit, dimensions, dissolve, hierarchy, indexing, polyfill, topology, traversal
+from ..operators import audit, dimensions, dissolve, hierarchy, indexing, lookup, polyfill, topology, traversal
 from ..sources import polygons
 from . import duck
 
@@ -580,6 +580,23 @@ def _(spark, sf):
     return polyfill.polyfill(_boxed_wkb(spark, sf), "wkb", 3).select("k", "cell")
 
 
+@query("points_in_covers", f"SELECT i.k, count(*) AS n, sum(e.k) AS keys FROM ({_INSIDE}) i JOIN (SELECT k, {_parent_sql('cell', 7, 3)} AS cell "
+       f"FROM ({indexed_sql(7, 'events', 'event_id')})) e ON e.cell = i.cell GROUP BY i.k")
+def _(spark, sf):
+    """Events in each customer's rectangle: the rectangles' cells compacted, never unfolded again."""
+    covers = hierarchy.compact_table(polyfill.polyfill(rectangles(spark, sf), "wkt", 3).select("k", "cell"), by=["k"])
+    # planning reads the covers' resolutions and ranges, the join reads them again
+    covers = traversal.cut_lineage(covers.withColumnsRenamed({"k": "area", "cell": "cover"}))
+    facts = indexed(spark, sf, 7, "events", "event_id")
+    return (lookup.lookup_cells(facts, covers, res=7).groupBy(F.col("area").alias("k"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("keys")))
+
+
+@query("polyfill_center_hex_wkb", f"SELECT k, {_hex('cell')} AS hex FROM ({_INSIDE})")
+def _(spark, sf):
+    return audit.hex_keys(polyfill.polyfill(_boxed_wkb(spark, sf), "wkb", 3)).select("k", "hex")
+
+
 @query("polyfill_full")
 def _(spark, sf):
     return polyfill.polyfill(rectangles(spark, sf), "wkt", 3, "full").select("k", "cell")
