@@ -445,3 +445,18 @@ def test_empty_tables(spark):
                 toxicity.keep_clean(docs, labels), toxicity.score(docs, None), mixing.sample(docs), quality.judge(docs, labels),
                 licenses.scan(docs), topk.nearest(vecs, F.lit(True)), neighbours.nearest(vecs, F.lit(True))):
         assert out.count() == 0
+
+
+def test_neighbours_of_extreme_lengths(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((300, 8))
+    lengths = [1.0, 1e-200, 1e200, 5e-310]
+    rows = [(n, (v * lengths[n % 4]).tolist()) for n, v in enumerate(base)]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 30 == 0, certainty=0.999999).collect()
+    unit = base / np.linalg.norm(base, axis=1)[:, None]
+    for q in range(0, 300, 30):
+        want = unit @ unit[q]
+        want[q] = -2
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [r[0] for r in mine] == [1, 2, 3, 4, 5]
+        assert np.allclose([r[2] for r in mine], np.sort(want)[::-1][:5], atol=1e-9)
