@@ -58,16 +58,22 @@ def local_counts(docs: DataFrame, longest: int, split: int) -> DataFrame:
     """Rows (p, mass) and (p, once, often, counts): what a task counted of hash partition p (of 2^split), its mass in a row of its own."""
 
     def rows(pending: list[np.ndarray]) -> pd.DataFrame:
-        h, c = np.unique(np.concatenate(pending), return_counts=True)
-        part = (h >> np.uint64(64 - split)).astype(np.int64) if split else np.zeros(len(h), np.int64)
-        key = (h << np.uint64(split)) >> np.uint64(64 - KEY_BITS)
-        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+        h = np.concatenate(pending)
+        pending.clear()
+        h.sort()
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        c, h = np.diff(np.r_[first, len(h)]), h[first]
+        del first
+        cuts = np.searchsorted(h, np.arange(1 << split, dtype=np.uint64) << np.uint64(64 - split)) if split else [0]
+        cuts = [*map(int, cuts), len(h)]
         out = []
-        for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            k, n = key[s:e], c[s:e]
+        for p, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if s == e:
+                continue
+            k, n = (h[s:e] << np.uint64(split)) >> np.uint64(64 - KEY_BITS), c[s:e]
             many = n > 1
-            out.append((part[s], int(n.sum()), None, None, None))
-            out.append((part[s], None, packed(k[~many]), packed(k[many]), n[many].astype("<i8").tobytes()))
+            out.append((p, int(n.sum()), None, None, None))
+            out.append((p, None, packed(k[~many]), packed(k[many]), n[many].astype("<i8").tobytes()))
         return pd.DataFrame(out, columns=["p", "mass", "once", "often", "counts"]).astype({"mass": "Int64"})
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
