@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import bits
 from ..functions.constants import MAX_RES
 from ..functions.steps import fresh, run, scoped
+from ._common import tuned
 
 
 def with_parent(df: DataFrame, cell="cell", res=0, out="parent") -> DataFrame:
@@ -133,7 +134,7 @@ def compact_table(df: DataFrame, cell="cell", by=()) -> DataFrame:
        so one aggregation of the (at most N/7) full parents over their ancestors finds
        every covered cell, and an anti join on the parent keeps the largest ones.
     """
-    rows, keys = _keyed(df, cell, by)
+    rows, keys = _keyed(tuned(df), cell, by)
     res = bits.resolution("cell")
     rows = rows.selectExpr("*", f"CASE WHEN {bits.is_valid_cell('cell')} THEN {res} ELSE -1 END AS _r")
     family = rows.selectExpr(

@@ -1,5 +1,6 @@
 """Rows of small files are dealt over tasks, and the work on them with them."""
-from hexatlas.operators._common import dealt
+from hexatlas.operators._common import HUGE_METHOD, dealt
+from hexatlas.operators.hierarchy import compact_table
 from hexatlas.operators.polyfill import polyfill
 from hexatlas.plans import catalog
 
@@ -22,3 +23,10 @@ def test_cells_away_from_the_boundary_are_decided_without_outlines(spark):
     square = spark.createDataFrame([(1, "POLYGON ((10 40, 13 40, 13 43, 10 43, 10 40))")], "k long, wkt string")
     got = {m: {r.cell for r in polyfill(square, "wkt", 4, m).collect()} for m in ("full", "center", "overlap", "overlap_bbox")}
     assert got["full"] < got["center"] < got["overlap"] <= got["overlap_bbox"]
+
+
+def test_compaction_sets_the_limit_its_generated_code_needs(spark):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    cells = spark.range(1).selectExpr("0 AS k", f"{catalog.keyed_cell('0', 1)} AS cell")
+    assert compact_table(cells, by=["k"]).count() == 1
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == HUGE_METHOD
