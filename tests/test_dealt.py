@@ -1,4 +1,5 @@
 """Rows of small files are dealt over tasks, and the work on them with them."""
+from hexatlas.operators import polyfill as filling
 from hexatlas.operators._common import HUGE_METHOD, dealt
 from hexatlas.operators.hierarchy import compact_table
 from hexatlas.operators.polyfill import polyfill
@@ -30,3 +31,20 @@ def test_compaction_sets_the_limit_its_generated_code_needs(spark):
     cells = spark.range(1).selectExpr("0 AS k", f"{catalog.keyed_cell('0', 1)} AS cell")
     assert compact_table(cells, by=["k"]).count() == 1
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == HUGE_METHOD
+
+
+def test_cells_that_can_hold_nothing_go_before_the_sides_are_looked_at(spark, monkeypatch):
+    made = []
+
+    def finish(df, *args):
+        made.append(df)
+        return told(df, *args)
+
+    told = filling._finish
+    monkeypatch.setattr(filling, "_finish", finish)
+    shapes = spark.createDataFrame([(1, "POLYGON ((10 40, 13 40, 13 43, 10 43, 10 40))"), (2, "POLYGON ((-3 88, 3 88, 3 89, -3 89, -3 88))"),
+                                    (3, "POLYGON ((178 -2, -178 -2, -178 2, 178 2, 178 -2))")], "k long, wkt string")
+    cells = polyfill(shapes, "wkt", 3).count()
+    o = next(c for c in made[0].columns if c.endswith("px"))[:-2]
+    rows = made[0].selectExpr(f"{o}px BETWEEN {o}x0 - 1e-8 AND {o}x1 + 1e-8 AND {o}py BETWEEN {o}y0 - 1e-8 AND {o}y1 + 1e-8 AS near").collect()
+    assert 0 < cells <= len(rows) and all(r.near for r in rows if r.near is not None)
