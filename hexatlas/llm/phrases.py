@@ -26,7 +26,7 @@ from .common import load, stash
 from .grams import bundles, grams, mixed, words
 
 LEAST, LONGEST, TOP, COVERED = 10, 3, 2000, 50
-BITS, KEY_BITS, MASS, FLUSH = 27, 40, 1 << 23, 1 << 22
+BITS, KEY_BITS, PLAIN, MASS, FLUSH = 27, 40, 3, 1 << 23, 1 << 22
 GAPS, STOPS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
 
@@ -44,14 +44,18 @@ def occurrences(texts: list, langs: list[str], longest: int, lanes: int) -> Iter
 
 
 def packed(keys: np.ndarray) -> bytes:
-    """Five bytes a key."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BITS // 8]).tobytes()
+    """Ascending keys as their steps: PLAIN low bytes each, which nothing shortens, then the high ones compressed."""
+    steps = np.r_[keys[:1], keys[1:] - keys[:-1]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BITS // 8].T
+    return len(keys).to_bytes(8, "little") + steps[:PLAIN].tobytes() + zlib.compress(steps[PLAIN:].tobytes(), 1)
 
 
 def unpacked_keys(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // (KEY_BITS // 8), 8), np.uint8)
-    out[:, :KEY_BITS // 8] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BITS // 8)
-    return out.view("<u8").ravel()
+    n = int.from_bytes(data[:8], "little")
+    cut = 8 + PLAIN * n
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :PLAIN] = np.frombuffer(data[8:cut], np.uint8).reshape(PLAIN, n).T
+    out[:, PLAIN:KEY_BITS // 8] = np.frombuffer(zlib.decompress(data[cut:]), np.uint8).reshape(KEY_BITS // 8 - PLAIN, n).T
+    return out.view("<u8").ravel().cumsum(dtype=np.uint64)
 
 
 def local_counts(docs: DataFrame, longest: int, split: int) -> DataFrame:
@@ -73,7 +77,7 @@ def local_counts(docs: DataFrame, longest: int, split: int) -> DataFrame:
             k, n = (h[s:e] << np.uint64(split)) >> np.uint64(64 - KEY_BITS), c[s:e]
             many = n > 1
             out.append((p, int(n.sum()), None, None, None))
-            out.append((p, None, packed(k[~many]), packed(k[many]), n[many].astype("<i8").tobytes()))
+            out.append((p, None, packed(k[~many]), packed(k[many]), zlib.compress(n[many].astype("<i8").tobytes(), 1)))
         return pd.DataFrame(out, columns=["p", "mass", "once", "often", "counts"]).astype({"mass": "Int64"})
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,7 +153,7 @@ def surviving(local: DataFrame, least: int, split: int) -> np.ndarray:
                 if once is None:
                     summary.mass += int(mass)
                 else:
-                    for keys, n in ((unpacked_keys(once), None), (unpacked_keys(often), np.frombuffer(counts, "<i8"))):
+                    for keys, n in ((unpacked_keys(once), None), (unpacked_keys(often), np.frombuffer(zlib.decompress(counts), "<i8"))):
                         summary.add(keys, np.ones(len(keys), np.int64) if n is None else n)
         if summary is not None:
             yield row()
@@ -170,7 +174,7 @@ def exact(docs: DataFrame, kept: np.ndarray, least: int, longest: int, split: in
     sent = docs.sparkSession.sparkContext.broadcast(kept)
 
     def rows(counts: dict[int, dict[bytes, int]]) -> pd.DataFrame:
-        return pd.DataFrame([(p, pickle.dumps(c)) for p, c in counts.items()], columns=["p", "counts"])
+        return pd.DataFrame([(p, zlib.compress(pickle.dumps(c), 1)) for p, c in counts.items()], columns=["p", "counts"])
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bitmap, counts, size = sent.value, defaultdict(dict), 0
@@ -219,7 +223,7 @@ def exact(docs: DataFrame, kept: np.ndarray, least: int, longest: int, split: in
                 if p != part:
                     yield frame()
                     part, counts = p, {}
-                for k, n in pickle.loads(data).items():
+                for k, n in pickle.loads(zlib.decompress(data)).items():
                     counts[k] = counts.get(k, 0) + n
         yield frame()
 

@@ -218,6 +218,14 @@ def test_summaries_keep_all_that_is_frequent(monkeypatch):
     assert (phrases.unpacked_keys(phrases.packed(np.array([0, 1, 2 ** 40 - 1], np.uint64))) == [0, 1, 2 ** 40 - 1]).all()
 
 
+def test_sorted_keys_travel_in_under_four_bytes():
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << phrases.KEY_BITS, 1 << 15, dtype=np.uint64))
+    keys[1], keys[-1] = keys[0], (1 << phrases.KEY_BITS) - 1
+    data = phrases.packed(keys)
+    assert len(data) < 4 * len(keys) and (phrases.unpacked_keys(data) == keys).all()
+    assert len(phrases.unpacked_keys(phrases.packed(keys[:0]))) == 0
+
+
 # --- n-gram join
 
 def components_by_hand(rows):
