@@ -25,12 +25,20 @@ LAST = (1 << 63) - 1
 UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")
 
 
+# what no line of spaced words holds: wide white space, and all blocks that scripts without spaces may lie in
+WIDE = "[\\x85\\xa0\\x{e00}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{2e80}-\\x{10ffff}]"
+
+
 def _words(line: Column | str) -> Column:
     line = F.col(line) if isinstance(line, str) else line
     one = "".join(f"\\p{{Is{s}}}" for s in UNSPACED)
     wide = F.split(F.regexp_replace(line, f"([{one}])", " $1 "), "(?U)\\s+")
-    plain = F.split(F.translate(line, "\t\x0b\f\r", "    "), " ")  # the same for ASCII, and quicker
-    return F.filter(F.when(F.octet_length(line) == F.length(line), plain).otherwise(wide), lambda w: w != "")
+    plain = line
+    for gap in "\t\x0b\f\r":
+        plain = F.replace(plain, F.lit(gap), F.lit(" "))
+    # the same where no character of WIDE stands, and quicker
+    simple = (F.octet_length(line) == F.length(line)) | ~F.rlike(line, F.lit(WIDE))
+    return F.filter(F.when(simple, F.split(plain, " ")).otherwise(wide), lambda w: w != "")
 
 
 def documents(docs: DataFrame) -> DataFrame:
@@ -49,7 +57,9 @@ def _half_keys(words: Column, n: Column) -> Column:
 
 def lines(keyed: DataFrame, near_words: int) -> DataFrame:
     """Rows (d, t, i, k1, k2, halves): all lines but blank ones; halves is null below near_words."""
-    rows = keyed.select("d", "t", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("w", _words("line"))
+    split = keyed.select("d", "t", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    # through a generator: a filter on plain columns would split every line a second time
+    rows = split.select(*PLACE, F.explode(F.array(_words("line"))).alias("w"))
     n = F.size("w")
     return (rows.where(n >= 1)
             .select(*PLACE, F.xxhash64("w").alias("k1"), F.xxhash64(F.lit(7), "w").alias("k2"),
