@@ -14,7 +14,7 @@ import math
 
 from . import bits, tables
 from .constants import MAX_RES
-from .steps import floor, number, pick, whole
+from .steps import as_lambda, floor, number, pick, whole
 
 HALF_ROOT3 = math.sqrt(3) / 2
 EDGE_SLACK = 1e-9
@@ -151,6 +151,17 @@ def cross_many(face, x, y, px, py, o, times):
     return steps, (face, x, y)
 
 
+def cross_lazily(face, x, y, px, py, o, times):
+    """As ``cross_many``, for steps that become one expression: crossings are worked out
+    for a position off its face only."""
+    steps, (f, qx, qy) = cross_many(face, x, y, px, py, o + "l", times)
+    s, at = [f"{o}i{m}" for m in range(3)], f"{o}at"
+    moved = as_lambda(steps, f"named_struct('f', {f}, 'x', {qx}, 'y', {qy})")
+    return [dict(zip(s, _sides(x, y))),
+            {at: f"CASE WHEN least({', '.join(s)}) >= {number(-EDGE_SLACK)} "
+                 f"THEN named_struct('f', {face}, 'x', {x}, 'y', {y}) ELSE {moved} END"}], (f"{at}.f", f"{at}.x", f"{at}.y")
+
+
 def point_of_face(face, x, y, o):
     """o_vx, o_vy, o_vz: (unnormalised) vector of a plane position."""
     axes = tables.face_axes()

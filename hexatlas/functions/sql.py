@@ -15,10 +15,11 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dimensions, indexing, topology, traversal
+from ..operators._common import HUGE_METHOD
 from ..sources.polygons import outline_binary, outline_text
 from . import bits
 from .constants import EARTH_RADIUS_KM, MAX_RES
-from .steps import Inline, as_lambda, fresh, number, pick, run, scoped
+from .steps import Inline, Statement, as_lambda, fresh, number, pick, run, scoped
 
 ITERATIONS = 500
 
@@ -50,6 +51,13 @@ def _disk(policy="exact", only_ring=False):
     return f"CASE WHEN {bits.is_valid_cell('cell')} AND k >= 0 THEN CASE WHEN {held} THEN {found} END END"
 
 
+def _disk_rows(only_ring=False):
+    """The same as a table: the disk of (cell, k) unless it holds a pentagon, by projections."""
+    c, n = fresh("cell"), fresh("k")
+    asked = Statement(f"SELECT cell AS {c}, k AS {n}", [c, n]).where(f"{bits.is_valid_cell(c)} AND {n} >= 0")
+    return traversal._disk_by_angle(asked, c, n, fresh("dk"), "null", only_ring).then(["ring", "member"], "CAST(ring AS INT) AS ring", "member")
+
+
 def _members(rows):
     return f"transform({rows}, e -> e.m)"
 
@@ -183,15 +191,15 @@ def definitions():
 
 @cache
 def tables():
-    """name -> (parameters, columns, generator): table functions, for LATERAL"""
+    """name -> (parameters, columns, generator or statement): table functions, for LATERAL"""
     scalar, ck = definitions(), "cell BIGINT, k INT"
     edges = topology.adjacency_edges(Inline("cell")).values("named_struct('e', edge, 'd', destination)")
     vertices = topology.cell_vertices(Inline("cell")).values("named_struct('n', n, 'v', vertex)")
     return {
         "grid_disk_rows": (ck, "ring INT, member BIGINT", f"inline({_disk()})"),
-        "grid_disk_unsafe_rows": (ck, "ring INT, member BIGINT", f"inline({_disk('null')})"),
+        "grid_disk_unsafe_rows": (ck, "ring INT, member BIGINT", _disk_rows()),
         "grid_ring_rows": (ck, "ring INT, member BIGINT", f"inline({_disk(only_ring=True)})"),
-        "grid_ring_unsafe_rows": (ck, "ring INT, member BIGINT", f"inline({_disk('null', True)})"),
+        "grid_ring_unsafe_rows": (ck, "ring INT, member BIGINT", _disk_rows(only_ring=True)),
         "grid_path_rows": ("a BIGINT, b BIGINT", "step INT, member BIGINT", f"posexplode({scalar['grid_path_cells'][2]})"),
         "directed_edge_rows": ("cell BIGINT", "edge BIGINT, destination BIGINT", f"inline({edges})"),
         "vertex_rows": ("cell BIGINT", "n INT, vertex BIGINT", f"inline({vertices})"),
@@ -222,6 +230,8 @@ def register(spark: SparkSession, prefix="hx_", only=None):
     Raises the session's ``spark.sql.analyzer.maxIterations`` where it is too low for the longest ones.
     """
     names = []
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit") != HUGE_METHOD:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD)
     deep = spark.conf.get("spark.sql.analyzer.maxIterations")
     if int(deep) < ITERATIONS:  # the analyzer resolves a level of nested values at a time
         spark.conf.set("spark.sql.analyzer.maxIterations", str(ITERATIONS))
@@ -234,7 +244,7 @@ def register(spark: SparkSession, prefix="hx_", only=None):
         if only is not None and name not in only:
             continue
         listed = ", ".join(c.split(" ")[0] for c in columns.split(", "))
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({params}) RETURNS TABLE({columns}) "
-                  f"RETURN SELECT {listed} FROM {generator} AS rows({listed})")
+        rows = generator.text if isinstance(generator, Statement) else f"SELECT {listed} FROM {generator} AS rows({listed})"
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({params}) RETURNS TABLE({columns}) RETURN {rows}")
         names.append(prefix + name)
     return names

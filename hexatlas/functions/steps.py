@@ -70,6 +70,8 @@ def end_stage(df: DataFrame, column) -> DataFrame:
     """End a generated-code stage, passing rows on unchanged: a generator over a
     lambda is not code-generated."""
     unit = fresh("cut")
+    if isinstance(df, Statement):
+        return df.then([*df.columns, unit], "*", f"explode(transform(array({column}), x -> 0)) AS {unit}").then(df.columns, *df.columns)
     return df.selectExpr("*", f"explode(transform(array({column}), x -> 0)) AS {unit}").drop(unit)
 
 
@@ -86,7 +88,8 @@ def project(df: DataFrame, steps) -> DataFrame:
     for step in steps:
         if spent and spent + weight(step) > METHOD_BUDGET:
             df, spent = end_stage(df, last), 0
-        df = df.selectExpr("*", *[f"{e} AS `{n}`" for n, e in step.items()])
+        made = [f"{e} AS `{n}`" for n, e in step.items()]
+        df = df.then([*df.columns, *step], "*", *made) if isinstance(df, Statement) else df.selectExpr("*", *made)
         spent += weight(step)
         last = f"`{next(iter(step))}`"
     return df
@@ -120,6 +123,8 @@ def keep_if(df: DataFrame, condition) -> DataFrame:
     if isinstance(df, Inline):
         return df.plus([], condition)
     flag = fresh("keep")
+    if isinstance(df, Statement):
+        return fence(df, df.columns, {flag: condition}).where(flag).then(df.columns, *df.columns)
     return df.selectExpr("*", f"inline(array(named_struct('{flag}', {condition})))").filter(flag).drop(flag)
 
 
@@ -198,10 +203,26 @@ class Inline:
         return as_lambda(steps, expr)
 
 
+class Statement:
+    """The parameters of a call in place of a table, for a table function: a job of steps runs on it, and gives a
+    chain of projections.  Under LATERAL Spark runs them on the distinct arguments, as generated code."""
+
+    def __init__(self, text, columns):
+        self.text, self.columns = text, list(columns)
+
+    def then(self, columns, *expressions):
+        return Statement(f"SELECT {', '.join(expressions)} FROM ({self.text})", columns)
+
+    def where(self, condition):
+        return Statement(f"SELECT * FROM ({self.text}) WHERE {condition}", self.columns)
+
+
 def spread(df, array, name, keep=("*",)):
     """A row per element of an array."""
     if isinstance(df, Inline):
         return df.plus([name], (array, name))
+    if isinstance(df, Statement):
+        return df.then([*df.columns, name], "*", f"explode({array}) AS {name}")
     return df.selectExpr(*keep, f"explode({array}) AS {name}")
 
 
@@ -211,6 +232,8 @@ def fence(df, kept, fields):
     if isinstance(df, Inline):
         return df.plus(fields, [{n: e for n, e in fields.items() if n != e}])
     named = ", ".join(f"'{n}', {e}" for n, e in fields.items())
+    if isinstance(df, Statement):
+        return df.then([*kept, *fields], *kept, f"inline(array(named_struct({named})))")
     return df.selectExpr(*[f"`{c}`" for c in kept], f"inline(array(named_struct({named})))")
 
 

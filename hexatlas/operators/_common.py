@@ -1,7 +1,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.constants import MAX_RES
-from ..functions.steps import Inline
+from ..functions.steps import Inline, Statement
 
 # Beyond this size HotSpot runs a method interpreted; falling back to operator-wise
 # code for such a stage is several times faster (the value Spark's documentation
@@ -10,7 +10,7 @@ HUGE_METHOD = "8000"
 
 
 def tuned(df: DataFrame) -> DataFrame:
-    if isinstance(df, Inline):
+    if isinstance(df, (Inline, Statement)):
         return df
     conf = df.sparkSession.conf
     if conf.get("spark.sql.codegen.hugeMethodLimit") != HUGE_METHOD:

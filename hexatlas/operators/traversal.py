@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits, frames, shapes, tables
 from ..functions.constants import MAX_RES
-from ..functions.steps import fence, fresh, keep_if, number, pick, project, run, spread, whole
+from ..functions.steps import Inline, fence, fresh, keep_if, number, pick, project, run, spread, whole
 from ._common import tuned
 
 # A disk reaching less than this far (in units of the resolution-0 step) can hold one
@@ -90,6 +90,13 @@ def _disk_by_angle(df, cell, k, o, policy, only_ring):
         {f"{o}dx": f"{o}ring * {pick(re, s1)} + {o}at * {pick(re, s2)}",
          f"{o}dy": f"{o}ring * {pick(im, s1)} + {o}at * {pick(im, s2)}"},
         {f"{o}qx": f"{o}fx + {o}dx", f"{o}qy": f"{o}fy + {o}dy"},
+    ]
+    if policy == "null":
+        # no pentagon in reach: the straight way is the only one, from the face that the origin is on
+        cross = frames.cross_lazily if isinstance(df, Inline) else frames.cross_many
+        more, (f, x, y) = cross(f"{o}face", f"{o}qx", f"{o}qy", f"{o}fx", f"{o}fy", o + "c", 3)
+        return fence(project(df, walk + more + frames.cell_at(f, x, y, f"{o}res", o + "z")), kept, {"ring": f"{o}ring", "member": f"{o}zcell"})
+    walk += [
         # angle of the member round the pentagon, against the origin's, in twelfths
         {f"{o}ex": f"{o}fx - {o}cx", f"{o}ey": f"{o}fy - {o}cy", f"{o}gx": f"{o}qx - {o}cx", f"{o}gy": f"{o}qy - {o}cy"},
         {f"{o}ang": f"CASE WHEN {o}pent THEN atan2({o}dy, {o}dx) WHEN {o}hit THEN "
