@@ -279,9 +279,9 @@ def _rel(c, o):
                      f"{o}y": f"{h}y - {pick([z.imag for z in homes], h + 'base')}"}]
 
 
-def local_position(origin, cell, o):
-    """o_a, o_b: lattice coordinates of ``cell`` in the frame of the origin's base cell;
-    o_oa, o_ob those of the origin; o_ok whether the two can be compared."""
+def relative_position(origin, cell, o):
+    """o_lx, o_ly: position of ``cell`` in the frame of the origin's base cell; o_px, o_py
+    that of the origin; o_res; o_ok whether the two can be compared."""
     p, q = o + "p", o + "q"
     steps = _rel(origin, p) + _rel(cell, q)
     to = "CASE " + " ".join(f"WHEN {pick(NEAR[d], p + 'base')} = {q}base THEN {d}" for d in range(1, 7)) + " ELSE 0 END"
@@ -311,8 +311,15 @@ def local_position(origin, cell, o):
          f"{o}my": f"{q}x * {o}s1 + {q}y * {o}c1 + {pick(dy, o + 'dir')}"},
         {f"{o}lx": f"{o}mx * {o}c2 - {o}my * {o}s2", f"{o}ly": f"{o}mx * {o}s2 + {o}my * {o}c2"},
     ]
+    return steps
+
+
+def local_position(origin, cell, o):
+    """o_a, o_b: lattice coordinates of ``cell`` in the frame of the origin's base cell;
+    o_oa, o_ob those of the origin; o_ok whether the two can be compared."""
+    steps = relative_position(origin, cell, o)
     steps += lattice(f"{o}lx", f"{o}ly", f"{o}res", o + "i")
-    steps += lattice(f"{p}x", f"{p}y", f"{o}res", o + "j")
+    steps += lattice(f"{o}px", f"{o}py", f"{o}res", o + "j")
     return steps + [{f"{o}a": f"{o}ia", f"{o}b": f"{o}ib", f"{o}oa": f"{o}ja", f"{o}ob": f"{o}jb"}]
 
 

@@ -49,8 +49,8 @@ def pair_edges(df: DataFrame, a="a", b="b", edge="edge", adjacent="adjacent") ->
                                for d, (x, y) in frames.ODD_STEP.items() if d) + " END"
     same = (f"{bits.is_valid_cell(a)} AND {bits.is_valid_cell(b)} "
             f"AND {bits.resolution(a)} = {bits.resolution(b)}")
-    steps = shapes.local_position(a, b, o) + [
-        {f"{o}da": f"{o}a - {o}oa", f"{o}db": f"{o}b - {o}ob"},
+    # both lie on one lattice, so their difference does: it is rounded once
+    steps = shapes.relative_position(a, b, o) + frames.lattice(f"({o}lx - {o}px)", f"({o}ly - {o}py)", f"{o}res", o + "d") + [
         {f"{o}digit": f"CASE WHEN {o}ok THEN {digit} END"},
     ]
     return run(tuned(df), steps, {edge: f"CASE WHEN {o}digit IS NOT NULL THEN {edge_id(a, o + 'digit')} END",

@@ -1,5 +1,6 @@
 """Unsafe disks and rings as table functions: the table job's rows, by projections and not by lambdas."""
 from hexatlas.functions import sql
+from hexatlas.functions.steps import Inline
 from hexatlas.operators import dimensions, topology, traversal
 
 ROWS = ("grid_ring_unsafe_rows", "grid_disk_unsafe_rows")
@@ -26,3 +27,8 @@ def test_unsafe_rows_run_as_generated_code(spark):
     plan = spark.sql("SELECT member FROM {c}, LATERAL ur_grid_ring_unsafe_rows(cell, 2)", c=cells)._jdf.queryExecution().optimizedPlan().toString()
     assert "array_max(" not in plan
     assert spark.sql("SELECT member FROM ur_grid_ring_unsafe_rows(599686042433355775L, 2)").count() == 12
+
+
+def test_a_pair_of_cells_is_rounded_to_the_lattice_once():
+    digit = topology.pair_edges(Inline("a", "b"), "a", "b", "edge", "adjacent").value("edge")
+    assert digit.count("floor(") == 3
