@@ -6,7 +6,7 @@ its own number of fragments; a set sends one key per fragment that it has someth
 in, so any two linked sets share a key whatever their shingles. Sets are small against their fragments: about eight shingles make a key,
 and a passage that many documents share brings together only those of which a whole fragment lies in it.
 
-Sets that meet are compared with one of them, the leader (rounds with other leaders may follow); what is then linked is one component and
+Sets that meet are compared with one of them, the leader: first the one that shares its keys with most sets (rounds with others may follow). What is then linked is one component and
 needs no more comparing. What remains between components is compared in pairs. Before that, a 256-bit parity sketch, which differs in no
 more bits than the sets in shingles, leaves out pairs that can't be alike. Links are verified: the sets that met, cut into fragments of
 the order, are intersected fragment by fragment, and the partial overlaps are summed per pair.
@@ -155,12 +155,19 @@ def links(docs: DataFrame, marked: DataFrame, size: int, rounds: int = ROUNDS) -
     keyed = marked.select(F.explode("keys").alias("key"), "sid", "n", *PARITY)
     shared = stash(keyed.groupBy("key").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a <> _b").select("key"))
     met = stash(sieve(keyed, F.col("key"), shared).join(shared, "key").dropDuplicates(["key", "sid"]).withColumn("root", F.col("sid")))
+    # how many sets share a set's keys: the most typical of near copies, which links most of them, leads first
+    sharing = met.groupBy("key").agg(F.count("*").alias("_n"))
+    ranks = met.select("key", "sid").join(sharing, "key").groupBy("sid").agg(F.sum("_n").alias("rank"))
+    ranked = stash(met.join(ranks, "sid"))
+    discard(met)
+    met = ranked
     parts = fragments(docs, marked, met.select("sid").distinct(), size)
     discard(shared)
     own = [F.col(p) for p in PARITY]
     found = None
     for i in range(rounds + 1):
-        lead = F.min(F.struct(F.xxhash64("sid", F.lit(i)), "sid", "n", "root", *PARITY)).alias("lead")
+        order = F.xxhash64("sid", F.lit(i)) if i else -F.col("rank")
+        lead = F.min(F.struct(order, "sid", "n", "root", *PARITY)).alias("lead")
         several = met.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), lead).where("_a <> _b").select("key", "lead")
         open_ = stash(met.join(several, "key"))
         discard(met)
