@@ -155,6 +155,57 @@ def neighbor(c, digit, o, res=None):
     return steps, f"CASE WHEN {ok} THEN {o}ncell END"
 
 
+def _carries():
+    """By parity of the level, digit and step (packed 64 p + 8 d + t): the change of the digit
+    by exclusive or, times 8, and the step to take one level up."""
+    out = [0] * 128
+    for p in (0, 1):
+        up = SCALES[1 - p] / SCALES[2 - p]
+        for d in range(7):
+            for t in range(7):
+                z = tables.DIGIT_STEP[d] + tables.DIGIT_STEP[t]
+                to, carry = next((e, u) for e in range(7) for u in range(7)
+                                 if abs(tables.DIGIT_STEP[e] + up * tables.DIGIT_STEP[u] - z) < 1e-9)
+                out[64 * p + 8 * d + t] = (d ^ to) * 8 + carry
+    return out
+
+
+def _one_frame(a, b):
+    """Whether two cells of one base cell lie on one plane with one orientation: round a pentagon, if
+    a digit other than 0 stands above all that they differ in."""
+    return f"(NOT {bits.is_pentagon_base(bits.base_cell(a))} OR {a} & {bits.ALL_DIGITS}L >= 8L * ({a} ^ {b}))"
+
+
+def step_inside(c, digit):
+    """The neighbour in direction ``digit``, if it lies in the same base cell and on one plane; else
+    NULL.  Digits are added with a carry from the finest up, which ends soon.  For expressions: a
+    lambda's work is interpreted, so its few operations count where ``neighbor`` has hundreds."""
+    res = bits.resolution(c)
+    shift = f"3 * ({MAX_RES} - {res} + i)"
+    code = pick(_carries(), f"64 * (({res} - i) % 2) + 8 * CAST(shiftright(s.h, {shift}) & 7 AS INT) + s.t")
+    walk = (f"aggregate(sequence(0, {res} - 1), named_struct('h', {c}, 't', CAST({digit} AS INT)), (s, i) -> CASE WHEN s.t = 0 THEN s "
+            f"ELSE array_max(transform(array({code}), m -> named_struct('h', s.h ^ shiftleft(CAST(shiftright(m, 3) AS BIGINT), {shift}), "
+            f"'t', m & 7))) END, s -> CASE WHEN s.t = 0 AND {_one_frame(c, 's.h')} THEN s.h END)")
+    return f"CASE WHEN {bits.is_valid_cell(c)} AND {res} > 0 AND {digit} BETWEEN 1 AND 6 THEN {walk} END"
+
+
+def distance_inside(a, b, o):
+    """Condition, steps and grid distance of two cells of one base cell and plane, from the digits
+    they differ in."""
+    res = bits.resolution(a)
+    ok = (f"{bits.is_valid_cell(a)} AND {bits.is_valid_cell(b)} AND {res} = {bits.resolution(b)} "
+          f"AND {bits.base_cell(a)} = {bits.base_cell(b)} AND {_one_frame(a, b)}")
+    xs, ys = [], []
+    for r in range(1, MAX_RES + 1):
+        low = 3 * (MAX_RES - r)
+        moved = [SCALES[r] * z for z in tables.DIGIT_STEP]
+        for out, turned in ((xs, [z.real for z in moved]), (ys, [z.imag for z in moved])):
+            at = [pick(turned, whole(f"shiftright({c}, {low}) & 7")) for c in (a, b)]
+            out.append(f"CASE WHEN {o}x & {7 << low}L = 0 THEN 0D ELSE {at[1]} - {at[0]} END")
+    steps = [{f"{o}x": f"{a} ^ {b}"}, {f"{o}dx": " + ".join(xs), f"{o}dy": " + ".join(ys), f"{o}r": res}]
+    return ok, steps + lattice(f"{o}dx", f"{o}dy", f"{o}r", o), hex_distance(f"{o}a", f"{o}b")
+
+
 PENT_LEFT = [1, 2, 3, 5, 0, 0]
 
 

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame
 
 from ..functions import bits, frames, shapes
-from ..functions.steps import fresh, run, spread
+from ..functions.steps import Inline, as_lambda, fresh, run, spread
 from ._common import tuned
 
 
@@ -14,10 +14,17 @@ def neighbors(df: DataFrame, cell="cell", direction="direction", out="neighbor",
     """Neighbour of each row's cell in each row's direction (1-6).  ``res`` may name the
     one resolution of the table, which shortens the generated code."""
     o = fresh("nb")
-    steps, result = shapes.neighbor(cell, direction, o, res)
+    steps, result = _quickly(df, shapes.step_inside(cell, direction), *shapes.neighbor(cell, direction, o, res), o)
     return run(tuned(df), steps, {out: result})
 
 
+def _quickly(df, quick, steps, result, o):
+    """For a call by name, whose steps Spark interprets: the steps are for what ``quick`` leaves NULL."""
+    if not isinstance(df, Inline):
+        return steps, result
+    return [{f"{o}quick": quick}], f"CASE WHEN {o}quick IS NOT NULL THEN {o}quick ELSE {as_lambda(steps, result)} END"
+
+
 def adjacency_edges(df: DataFrame, cell="cell", res=None) -> DataFrame:
     """One row per directed edge leaving each cell: edge, direction, destination."""
     o = fresh("dir")
@@ -33,7 +40,7 @@ def edge_ends(df: DataFrame, edge="edge", origin="origin", destination="destinat
     o = fresh("ee")
     steps = [{f"{o}e": f"CASE WHEN {bits.is_valid_edge(edge)} THEN {bits.as_cell(edge)} END",
               f"{o}d": f"coalesce({bits.reserved(edge)}, 0)"}]
-    more, result = shapes.neighbor(f"{o}e", f"{o}d", o + "n", res)
+    more, result = _quickly(df, shapes.step_inside(f"{o}e", f"{o}d"), *shapes.neighbor(f"{o}e", f"{o}d", o + "n", res), o)
     return run(tuned(df), steps + more, {origin: f"{o}e", destination: result})
 
 
@@ -60,6 +67,16 @@ def pair_edges(df: DataFrame, a="a", b="b", edge="edge", adjacent="adjacent") ->
 def reverse_edges(df: DataFrame, edge="edge", out="reverse", res=None) -> DataFrame:
     """The same side crossed the other way; NULL for an invalid edge."""
     o = fresh("rv")
+    if isinstance(df, Inline):
+        # cells of one plane call opposite directions by digits that make 7
+        whole = _reversed(Inline(*df.columns), edge, out, res, o).value(out)
+        steps = [{f"{o}e": f"CASE WHEN {bits.is_valid_edge(edge)} THEN {bits.as_cell(edge)} END", f"{o}d": f"coalesce({bits.reserved(edge)}, 0)"}]
+        there = edge_id(f"{o}to", f"(7 - {o}d)")
+        return run(df, steps + [{f"{o}to": shapes.step_inside(f"{o}e", f"{o}d")}], {out: f"CASE WHEN {o}to IS NOT NULL THEN {there} ELSE {whole} END"})
+    return _reversed(df, edge, out, res, o)
+
+
+def _reversed(df, edge, out, res, o):
     ended = edge_ends(df, edge, f"{o}a", f"{o}b", res)
     return pair_edges(ended, f"{o}b", f"{o}a", out, f"{o}adj").drop(f"{o}a", f"{o}b", f"{o}adj")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits, frames, shapes, tables
 from ..functions.constants import MAX_RES
-from ..functions.steps import Inline, fence, fresh, keep_if, number, pick, project, run, spread, whole
+from ..functions.steps import Inline, as_lambda, fence, fresh, keep_if, number, pick, project, run, spread, whole
 from ._common import tuned
 
 # A disk reaching less than this far (in units of the resolution-0 step) can hold one
@@ -189,7 +189,12 @@ def pair_distances(df: DataFrame, a="a", b="b", out="distance") -> DataFrame:
     o = fresh("ds")
     steps = shapes.local_position(a, b, o)
     d = shapes.hex_distance(f"{o}a - {o}oa", f"{o}b - {o}ob")
-    return run(tuned(df), steps, {out: f"CASE WHEN {o}ok THEN {d} END"})
+    found = f"CASE WHEN {o}ok THEN {d} END"
+    if isinstance(df, Inline):
+        # interpreted: the whole way is for cells of different base cells or planes
+        near, few, inside = shapes.distance_inside(a, b, o + "i")
+        return run(df, [], {out: f"CASE WHEN {near} THEN {as_lambda(few, inside)} ELSE {as_lambda(steps, found)} END"})
+    return run(tuned(df), steps, {out: found})
 
 
 def local_coordinates(df: DataFrame, origin="origin", cell="cell", i="i", j="j") -> DataFrame:
