@@ -38,3 +38,14 @@ def lookup_cells(df: DataFrame, covers: DataFrame, cell="cell", cover="cover", r
     choices = ", ".join(f"CASE WHEN {bits.resolution(cell)} >= {r} THEN {bits.parent(cell, r)} END" for r in sorted(levels))
     rows = rows.selectExpr("*", f"explode(array_compact(array({choices}))) AS {o}up")
     return rows.join(held, F.expr(f"{o}up = {cover}")).drop(f"{o}up")
+
+
+def rollup_in_covers(df: DataFrame, covers: DataFrame, aggregates, merges, by=(), cell="cell", cover="cover", res=None) -> DataFrame:
+    """Aggregate the rows of ``df`` in each set of covers (keys ``by``, columns of ``covers``).
+
+    Many sets may hold one cell: each different cell of the covers meets the rows once, by
+    ``lookup_cells``, and is aggregated; the sets then meet those aggregates, which ``merges`` combine
+    column by column.  Work grows with rows plus covers, not with rows times the sets over them.
+    """
+    held = lookup_cells(df, covers.select(cover).distinct(), cell, cover, res).groupBy(cover).agg(*aggregates)
+    return covers.select(*by, cover).join(held, cover).groupBy(*by).agg(*merges)
